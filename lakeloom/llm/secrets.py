@@ -1,0 +1,266 @@
+"""Secret scans: a worklist of decoded layers, each scanned again, with spans mapped to the text.
+
+A layer is a string with, for every code point, the span of the original text it came from. The
+text itself is the first layer. Each layer is scanned for secrets, then unwrapped: percent
+escapes and ``\\u`` / ``\\x`` escapes in place, base64 tokens (plain, URL-safe or in lines) and
+gzip, zlib, bzip2 and xz data inside them. New layers join the worklist until none is left; a
+layer met before at the same place is not taken again, so cycles end. No shuffle, no state
+beyond one text.
+"""
+
+from __future__ import annotations
+
+import base64
+import binascii
+import bz2
+import hashlib
+import lzma
+import re
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..shipping import ship
+
+# Fixed values of the contract: patterns, least lengths and the order of the kinds.
+KINDS = ("assign", "access", "hex")
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]+")
+LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
+
+#: A layer that unpacks to more bytes than this is not opened but counted in ``n_unopened``.
+MAX_LAYER = 1 << 26
+
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
+_ESCAPE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
+_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{40,}\r?\n)+[A-Za-z0-9+/]{4,}")
+_URL_SAFE = str.maketrans("-_", "+/")
+
+
+def scan(text: str, runs: list[re.Match] | None = None) -> list[tuple[int, int, int]]:
+    """``(start, kind, end)`` of every secret of one string, by start and kind."""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_ASSIGN]
+    # a maximal run of hexadecimal digits or of an access key lies within one run of 16 or more
+    for run in _RUN.finditer(text) if runs is None else runs:
+        for kind, pattern, least in ((1, ACCESS, LEAST_ACCESS), (2, HEX, LEAST_HEX)):
+            found += [(m.start(), kind, m.end()) for m in pattern.finditer(text, run.start(), run.end()) if m.end() - m.start() >= least]
+    return sorted(found)
+
+
+def _unescape(text: str, pattern: re.Pattern, decode) -> tuple[str, list[int], list[int]] | None:
+    """The text with the runs of ``pattern`` decoded, and each code point's span before."""
+    out, starts, ends, last, changed = [], [], [], 0, False
+
+    def copy(a: int, b: int) -> None:
+        out.append(text[a:b])
+        starts.extend(range(a, b))
+        ends.extend(range(a + 1, b + 1))
+
+    for m in pattern.finditer(text):
+        pieces = decode(m.group())
+        if pieces is None:
+            continue
+        copy(last, m.start())
+        for piece, a, b in pieces:
+            out.append(piece)
+            starts.append(m.start() + a)
+            ends.append(m.start() + b)
+        last, changed = m.end(), True
+    if not changed:
+        return None
+    copy(last, len(text))
+    return "".join(out), starts, ends
+
+
+def _percent(run: str):
+    try:
+        text = bytes.fromhex(run.replace("%", "")).decode()
+    except UnicodeDecodeError:
+        return None
+    out, at = [], 0
+    for c in text:
+        width = 3 * len(c.encode())
+        out.append((c, at, at + width))
+        at += width
+    return out
+
+
+def _escape(run: str):
+    codes = [(int(next(g for g in m.groups() if g), 16), m.start(), m.end()) for m in _ESCAPE_ONE.finditer(run)]
+    out, k = [], 0
+    while k < len(codes):
+        code, a, b = codes[k]
+        if 0xD800 <= code < 0xDC00 and k + 1 < len(codes) and 0xDC00 <= codes[k + 1][0] < 0xE000:
+            code, b, k = 0x10000 + ((code - 0xD800) << 10) + codes[k + 1][0] - 0xDC00, codes[k + 1][2], k + 1
+        out.append(("�" if 0xD800 <= code < 0xE000 or code > 0x10FFFF else chr(code), a, b))
+        k += 1
+    return out
+
+
+def _unpack(raw: bytes) -> tuple[bytes | None, bool]:
+    """Decompressed data if ``raw`` is compressed, and whether it was too large."""
+    if raw[:2] == b"\x1f\x8b":
+        make = lambda: zlib.decompressobj(31)
+    elif raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0:
+        make = lambda: zlib.decompressobj(15)
+    elif raw[:3] == b"BZh":
+        make = bz2.BZ2Decompressor
+    elif raw[:6] == b"\xfd7zXZ\x00":
+        make = lzma.LZMADecompressor
+    else:
+        return None, False
+    try:
+        data = make().decompress(raw, MAX_LAYER + 1)
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+        return None, False
+    return (None, True) if len(data) > MAX_LAYER else (data or None, False)
+
+
+def _readable(raw: bytes) -> str | None:
+    try:
+        text = raw.decode()
+    except UnicodeDecodeError:
+        return None
+    return text if all(c.isprintable() or c in "\n\r\t" for c in text) else None
+
+
+def _base64(token: str) -> bytes | None:
+    body = token.translate(_URL_SAFE).replace("\r", "").replace("\n", "").rstrip("=")
+    if len(body) % 4 == 1:
+        return None
+    try:
+        return base64.b64decode(body + "=" * (-len(body) % 4))
+    except (binascii.Error, ValueError):
+        return None
+
+
+def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
+    """Base spans, all spans, the number of layers beyond the text, and of those not opened."""
+    runs = list(_RUN.finditer(text))
+    base = scan(text, runs)
+    if not runs and "%" not in text and "\\" not in text:
+        return base, base, 0, 0
+    spans, layers, unopened = set(base), 0, 0
+    seen: set[tuple[str, int, int]] = set()
+    work: list[tuple[str, list[int] | range, list[int] | range]] = [(text, range(len(text)), range(1, len(text) + 1))]
+
+    def push(new: str, starts, ends) -> None:
+        nonlocal layers
+        key = (new, starts[0], ends[-1])
+        if key in seen:
+            return
+        seen.add(key)
+        layers += 1
+        spans.update((starts[a], kind, ends[b - 1]) for a, kind, b in scan(new))
+        work.append((new, starts, ends))
+
+    def opened(raw: bytes, lo: int, hi: int, exact: tuple[list[int], list[int]] | None) -> None:
+        nonlocal unopened
+        while True:
+            data, large = _unpack(raw)
+            unopened += large
+            if data is None or data == raw:
+                break
+            raw, exact = data, None
+        inner = _readable(raw)
+        if inner and len(inner) >= 8:
+            if exact and len(inner) == len(raw):
+                push(inner, *exact)
+            else:
+                push(inner, [lo] * len(inner), [hi] * len(inner))
+
+    while work:
+        layer, starts, ends = work.pop()
+        for mark, pattern, decode in (("%", _PERCENT, _percent), ("\\", _ESCAPE, _escape)):
+            if mark in layer and (got := _unescape(layer, pattern, decode)) and got[0]:
+                new, a, b = got
+                push(new, [starts[k] for k in a], [ends[k - 1] for k in b])
+        here = runs if layer is text else list(_RUN.finditer(layer))
+        tokens = [(m.start(), m.end()) for m in here]
+        if any(b - a >= 40 for a, b in tokens) and "\n" in layer:
+            tokens += [m.span() for m in _WRAPPED.finditer(layer)]
+        for a, b in tokens:
+            raw = _base64(layer[a:b])
+            if raw and len(raw) >= 8:
+                plain = "\n" not in layer[a:b]
+                exact = ([starts[a + 4 * (k // 3) + k % 3] for k in range(len(raw))], [ends[min(b - 1, a + 4 * (k // 3) + k % 3 + 1)] for k in range(len(raw))]) if plain else None
+                opened(raw, starts[a], ends[b - 1], exact)
+    return base, sorted(spans), layers, unopened
+
+
+def joined(spans: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
+_FOUND = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, n_unopened long"
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            rows: list[list] = [[] for _ in range(7)]
+            for text in part.column("text"):
+                base, spans, layers, unopened = find(text.as_py() or "")
+                kinds = [k for _, k, _ in base]
+                values = [*(kinds.count(k) for k in range(3)), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), layers, unopened]
+                for column, value in zip(rows, values, strict=True):
+                    column.append(value)
+            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()] * 2
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(r, t) for r, t in zip(rows, types, strict=True))], names=[f.split()[0] for f in _FOUND.split(", ")])
+
+
+def find_secrets(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs(doc_id, text, ...)``: counts and digest of the base spans, all spans.
+
+    ``spans`` also holds secrets of decoded layers, at the span of the text that encodes them. A
+    null or empty text has no spans (empty strings, the digest of an empty string); repeated rows
+    and null ids are judged like any other; further columns are ignored; no rows give no rows.
+    """
+    ship(docs.sparkSession)
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return narrow.mapInArrow(_judge, _FOUND)
+
+
+def hide(text: str | None, mark: str = "[secret]") -> str | None:
+    """The text with every span, overlapping ones together, replaced by ``mark``."""
+    spans = [(a, b) for a, _, b in find(text)[1]] if text else []
+    if not spans:
+        return text
+    out, last, at = [], 0, 0
+    for a, b in sorted(spans):
+        if a >= last or not out:
+            out += [text[at:a], mark]
+            at = b
+        at = max(at, b)
+        last = max(last, b)
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """``docs`` with secrets replaced in ``text`` and ``n_chars`` counted anew where text changed.
+
+    Other columns, nulls and texts without secrets stay as they are.
+    """
+    ship(docs.sparkSession)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                old = part.column("text").to_pylist()
+                new = [hide(t) for t in old]
+                columns = {n: part.column(n) for n in names}
+                columns["text"] = pa.array(new, part.schema.field("text").type)
+                if "n_chars" in columns:
+                    columns["n_chars"] = pa.array([c if t == u else len(u) for c, t, u in zip(part.column("n_chars").to_pylist(), old, new, strict=True)], part.schema.field("n_chars").type)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), schema=part.schema)
+
+    return docs.mapInArrow(run, docs.schema)
