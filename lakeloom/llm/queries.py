@@ -5,13 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import neardup, quality, secrets, urlfilter
+from . import mixing, neardup, pagetext, quality, secretscan, topk, urlfilter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(e,) for e in urlfilter.LISTED], "entry string")
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), listed)
@@ -22,7 +35,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return secretscan.find_secrets(table(spark, sf_dir, "documents"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
