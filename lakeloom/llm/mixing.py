@@ -40,10 +40,12 @@ def rates(docs: DataFrame, weights: Mapping[str, float] | None, epochs: float) -
         size = size.join(given, F.col("of") == F.col("name"), "left").withColumn("w", F.coalesce("w", F.lit(0.0))).drop("name")
     else:
         size = size.withColumn("w", F.lit(1.0))
-    whole = size.where("n > 0").agg(F.sum("n").alias("total"), F.sum("w").alias("weight"))
-    rated = size.withColumn("k", F.lit(1)).join(F.broadcast(whole.withColumn("one", F.lit(1))), F.col("k") == F.col("one"))  # one row
-    rate = F.when((F.col("n") > 0) & (F.col("weight") > 0), F.lit(float(epochs)) * (F.col("w") / F.col("weight")) * F.col("total") / F.col("n")).otherwise(F.lit(0.0))
-    return rated.select("of", rate.alias("rate")).withColumn("cdf", poisson_cdf(F.col("rate")))
+    size = Scratch(docs.sparkSession, "mixing").save(size, "sizes")
+    total, weight = size.where("n > 0").agg(F.sum("n"), F.sum("w")).first()  # one row
+    if not total or not weight:
+        return size.select("of", F.lit(0.0).alias("rate"), F.array(F.lit(1.0)).alias("cdf"))
+    rate = F.when(F.col("n") > 0, F.lit(float(epochs) * total) * (F.col("w") / F.lit(weight)) / F.col("n")).otherwise(F.lit(0.0))
+    return size.select("of", rate.alias("rate")).withColumn("cdf", poisson_cdf(F.col("rate")))
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0, seed: int = 17) -> DataFrame:
