@@ -238,12 +238,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], names=["host", "subtree", "article"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """``subtree`` keys (host included) that recur across many pages of different content of a host."""
     seen = pages.where("host <> ''").select("host", "html").mapInArrow(_count, _SEEN).distinct()
     counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    counted = scratch.save(counted.where(f"subtree = 0 or n >= {MIN_PAGES}"), "counted")
     whole = counted.where("subtree = 0").select(F.col("host").alias("of"), F.col("n").alias("all"))
-    often = counted.where(f"subtree <> 0 and n >= {MIN_PAGES}")
+    often = counted.where("subtree <> 0")
     return often.join(whole, F.col("host") == F.col("of")).where(f"n >= {MIN_SHARE} * all").select("host", "subtree")
 
 
@@ -291,7 +292,7 @@ def extract(pages: DataFrame, max_templates: int = MAX_TEMPLATES) -> DataFrame:
     narrow = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     hosted = narrow.withColumn("__url", F.col("url"))
     hosted = hosted.withColumn("host", F.coalesce(host_and_path(F.col("__url"))[0], F.lit(""))).drop("__url")
-    found = scratch.save(templates(hosted), "templates")
+    found = scratch.save(templates(hosted, scratch), "templates")
     if found.count() <= max_templates:
         keys = np.sort(np.array([r["subtree"] for r in found.select("subtree").collect()], np.int64))
         return hosted.mapInArrow(_extract(spark.sparkContext.broadcast(keys)), _TEXT)
