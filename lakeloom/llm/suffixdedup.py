@@ -232,13 +232,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, budget: int = 64 << 2
     scratch = Scratch(spark, "suffixdedup")
     span = (length - GRAM + 1) // 2  # two cells for each owner; the core has the rest of a window
     rows = scratch.save(docs.select("rk", "text").where("text is not null").mapInArrow(_emit(length, span), _CELLS), "cells")
-    twice = rows.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
+    # tables of their own, so that the joins that follow stand on plain exchanges, whose hot partitions Spark can split
+    twice = scratch.save(rows.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2"), "twice")
     live = scratch.save(rows.join(twice, ["k1", "k2"]), "live")
-    scratch.drop("cells")
+    scratch.drop("cells", "twice")
     place = F.struct("rk", "lo", "hi", "cs")
     contexts = scratch.save(live.groupBy("k1", "k2", "ctx").agg(F.count("*").alias("n"), F.min(place).alias("place")), "contexts")
     full = live.join(contexts.where("n > 1").select("k1", "k2", "ctx"), ["k1", "k2", "ctx"], "left_semi").select("rk", "lo", "hi")
-    mixed = contexts.groupBy("k1", "k2").agg(F.count("*").alias("v")).where("v > 1").select("k1", "k2")
+    mixed = scratch.save(contexts.groupBy("k1", "k2").agg(F.count("*").alias("v")).where("v > 1").select("k1", "k2"), "mixed")
     edges = contexts.join(mixed, ["k1", "k2"]).select("place.rk", F.struct("k1", "k2", "place.lo", "place.hi", "place.cs", (F.col("n") > 1).alias("many")).alias("at"))
     edges = scratch.save(edges.groupBy("rk").agg(F.collect_list("at").alias("places")), "edges")
     strings = docs.select("rk", "text").join(edges, "rk").select("rk", "text", "places").mapInArrow(_strings(length, span), _STRINGS)
