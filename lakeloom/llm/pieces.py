@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, row_key
+from .common import Scratch, partitions, row_key
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Most frequent words that are broadcast, at most; a few dozen bytes each.
@@ -88,15 +88,33 @@ class Pieces:
             raise ValueError("a piece spans a word's end")
         return cls(tuple(table), first, tuple(surface), min(s for _, _, s in table) - UNKNOWN_PENALTY, max(len(p) for p, _, _ in table), word_pattern([p for p, _, _ in table]))
 
+    def spells(self, ids: np.ndarray, text: str) -> bool:
+        """Whether the ids decode to the text (the added space included): all pieces are laid out at once."""
+        if "flat" not in self.__dict__:
+            width = np.array([len(x) for x in self.surface])
+            self.__dict__.update(flat=np.frombuffer(b"".join(self.surface), np.uint8), width=width, begin=np.cumsum(width) - width)
+        width = self.width[ids]
+        at = np.cumsum(width) - width
+        place = np.arange(int(width.sum())) + np.repeat(self.begin[ids] - at, width)
+        return self.flat[place].tobytes() == (" " + text).encode() if text else not len(ids)
+
     def decode(self, ids) -> str:
         raw = b"".join([self.surface[i] for i in ids])
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
 def count_words(docs: DataFrame, word: str) -> DataFrame:
-    """Distinct words of all texts and how often they occur; the text starts with an added space."""
-    found = F.regexp_extract_all(F.concat(F.lit(" "), "text"), F.lit(word), F.lit(0))
-    return docs.where("text <> ''").select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """Distinct words of all texts and how often they occur; the text starts with an added space.
+
+    Texts are first cut before their runs of spaces, which the words' pattern never crosses; only
+    distinct chunks go through the pattern. A chunk is kept without its first space.
+    """
+    text = F.concat(F.lit(" "), "text")
+    spaced = F.transform(F.split(text, "(?<=[^ ])(?= )"), lambda x: F.substring(x, F.lit(2), F.length(x)))
+    chunks = F.when(F.instr(text, "  ") == 0, F.split("text", " ")).otherwise(spaced)
+    counted = docs.where("text <> ''").select(F.explode(chunks).alias("chunk")).groupBy("chunk").agg(F.count("*").alias("n"))
+    words = counted.select(F.explode(F.regexp_extract_all(F.concat(F.lit(" "), "chunk"), F.lit(word), F.lit(0))).alias("word"), "n")
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 # an edge as one long, so that edges sort as numbers: its end, its start, and its piece's id plus 1 (0: no piece)
@@ -139,6 +157,8 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     table = spark.createDataFrame([(p, i) for p, i, _ in pieces.table], "piece string, id int")  # as many rows as the model has pieces
     by_id = {i + 1: s for _, i, s in pieces.table} | {0: pieces.unknown}
     scores = F.from_json(F.lit(json.dumps([by_id.get(k, pieces.unknown) for k in range(max(by_id) + 1)])), "array<double>")
+    # many small partitions: a word becomes some seventy rows
+    words = words.repartition(8 * partitions(spark), "word")
     spread = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
     spread = spread.select("word", "n", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("word") - F.col("at") + 1))).alias("k"))
     spread = spread.withColumn("part", F.substring(F.col("word"), F.col("at"), F.col("k")))
@@ -174,16 +194,44 @@ def _texts(batch: pa.RecordBatch, size: int = 256) -> Iterator[tuple[pa.RecordBa
         yield part, part.column("text").to_pylist()
 
 
+class _Lookup:
+    """Words of texts, and ids of chunks all of whose words are broadcast; chunks met before are remembered."""
+
+    def __init__(self, known: dict[str, bytes], word: str):
+        self.known, self.cut, self.chunks = known, re.compile(word), {}
+
+    def parts(self, text: str) -> list[str]:
+        """The text's chunks; one for all of it where spaces follow each other."""
+        text = " " + text
+        return [text] if "  " in text else [" " + c for c in text[1:].split(" ")]
+
+    def ids(self, chunk: str) -> bytes | None:
+        """The chunk's ids as 32-bit numbers; None if a word of it is not broadcast."""
+        got = self.chunks.get(chunk)
+        if got is None:
+            found = [self.known.get(w) for w in self.cut.findall(chunk)]
+            if None in found:
+                return None
+            got = b"".join(found)
+            if len(self.chunks) < MAX_HOT and len(chunk) <= 2 * MAX_WORD:
+                self.chunks[chunk] = got
+        return got
+
+    def rare(self, parts: list[str]) -> list[str]:
+        """Distinct words that are not broadcast, sorted."""
+        return sorted({w for c in set(parts) if self.ids(c) is None for w in self.cut.findall(c) if w not in self.known})
+
+
 def _rare(hot, word: str):
     """For each text its distinct words that are not broadcast, numbered in their sorted order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cut = hot.value.keys(), re.compile(word)
+        lookup = _Lookup(hot.value, word)
         for batch in batches:
             for part, texts in _texts(batch):
                 keys, slots, words = [], [], []
                 for rk, text in zip(part.column("rk").to_pylist(), texts, strict=True):
-                    rare = sorted(set(cut.findall(" " + text)) - known) if text else []
+                    rare = lookup.rare(lookup.parts(text)) if text else []
                     keys += [rk] * len(rare)
                     slots += range(len(rare))
                     words += rare
@@ -203,8 +251,8 @@ _ENCODED = "doc_id long, ids array<int>, n_tokens long, round_trip boolean"
 
 def _assemble(hot, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pieces = hot.value, shared.value
-        cut = re.compile(pieces.word)
+        pieces = shared.value
+        lookup = _Lookup(hot.value, pieces.word)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -212,13 +260,17 @@ def _assemble(hot, shared):
                 total = 0
                 for packed, rare in zip(part.column("packed").to_pylist(), part.column("rare").to_pylist(), strict=True):
                     text = zlib.decompress(packed).decode() if packed else ""
-                    words = cut.findall(" " + text) if text else []
-                    own = dict(zip(sorted(set(words) - known.keys()), (ids for _, ids in sorted({x["slot"]: x["ids"] for x in rare or []}.items())), strict=True))
-                    ids = np.concatenate([np.asarray(own[w], np.int32) if w in own else known[w] for w in words]) if words else np.empty(0, np.int32)
+                    parts = lookup.parts(text) if text else []
+                    own = dict(zip(lookup.rare(parts), (np.asarray(ids, np.int32).tobytes() for _, ids in sorted({x["slot"]: x["ids"] for x in rare or []}.items())), strict=True))
+                    found = list(map(lookup.chunks.get, parts))
+                    for at_chunk in [k for k, got in enumerate(found) if got is None]:
+                        words = lookup.cut.findall(parts[at_chunk])
+                        found[at_chunk] = b"".join([own[w] if w in own else lookup.known[w] for w in words])
+                    ids = np.frombuffer(b"".join(found), np.int32)
                     flat.append(ids)
                     total += len(ids)
                     ends.append(total)
-                    right.append(pieces.decode(ids.tolist()) == text)
+                    right.append(bool(pieces.spells(ids, text)))
                 values = pa.array(np.concatenate(flat) if flat else np.empty(0, np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(np.diff(ends), pa.int64()), pa.array(right, pa.bool_())], names=[f.split()[0] for f in _ENCODED.split(", ")])
 
@@ -237,11 +289,12 @@ class _Hot:
     def __getstate__(self):
         return {"raw": self.raw}
 
-    def open(self) -> dict[str, np.ndarray]:
+    def open(self) -> dict[str, bytes]:
         if "known" not in self.__dict__:
             table = pa.ipc.open_stream(self.raw).read_all().combine_chunks()
             lists = table.column("ids").combine_chunks()
             ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            values, ends = values.astype(np.int32).tobytes(), ends * 4
             self.known = {w: values[a:b] for w, a, b in zip(table.column("word").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
         return self.known
 
