@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, pagetext, pieces, quality, secretscan, suffixdedup, topk, urlfilter
+from . import licenses, mixing, neardup, pagetext, pieces, quality, secretscan, suffixdedup, topk, urlfilter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text's path is its source, its language and its id."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs.withColumn("path", F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
