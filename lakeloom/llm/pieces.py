@@ -32,7 +32,7 @@ from .common import Scratch, partitions, row_key
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Most frequent words that are broadcast, at most; a few dozen bytes each.
-MAX_HOT = 400_000
+MAX_HOT = 300_000
 #: Words are also cut after so many code points (64 spaces), so that no fold grows beyond them.
 MAX_WORD = 200
 UNKNOWN_PENALTY = 10.0
@@ -213,10 +213,13 @@ class _Lookup:
             if None in found:
                 return None
             got = b"".join(found)
-            if len(self.chunks) < MAX_HOT and len(chunk) <= 2 * MAX_WORD:
-                self.chunks[chunk] = got
+            self.remember(chunk, got)
         return got
 
+    def remember(self, chunk: str, ids: bytes) -> None:
+        if len(self.chunks) < MAX_HOT and len(chunk) <= 2 * MAX_WORD:
+            self.chunks[chunk] = ids
+
     def rare(self, parts: list[str]) -> list[str]:
         """Distinct words that are not broadcast, sorted."""
         return sorted({w for c in set(parts) if self.ids(c) is None for w in self.cut.findall(c) if w not in self.known})
@@ -261,11 +264,14 @@ def _assemble(hot, shared):
                 for packed, rare in zip(part.column("packed").to_pylist(), part.column("rare").to_pylist(), strict=True):
                     text = zlib.decompress(packed).decode() if packed else ""
                     parts = lookup.parts(text) if text else []
-                    own = dict(zip(lookup.rare(parts), (np.asarray(ids, np.int32).tobytes() for _, ids in sorted({x["slot"]: x["ids"] for x in rare or []}.items())), strict=True))
                     found = list(map(lookup.chunks.get, parts))
-                    for at_chunk in [k for k, got in enumerate(found) if got is None]:
-                        words = lookup.cut.findall(parts[at_chunk])
-                        found[at_chunk] = b"".join([own[w] if w in own else lookup.known[w] for w in words])
+                    lost = {k: lookup.cut.findall(parts[k]) for k, got in enumerate(found) if got is None}
+                    rare_words = sorted({w for words in lost.values() for w in words if w not in lookup.known})
+                    own = dict(zip(rare_words, (np.asarray(ids, np.int32).tobytes() for _, ids in sorted({x["slot"]: x["ids"] for x in rare or []}.items())), strict=True))
+                    for k, words in lost.items():
+                        found[k] = b"".join([own[w] if w in own else lookup.known[w] for w in words])
+                        if not own.keys() & set(words):
+                            lookup.remember(parts[k], found[k])
                     ids = np.frombuffer(b"".join(found), np.int32)
                     flat.append(ids)
                     total += len(ids)

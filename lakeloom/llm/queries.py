@@ -58,3 +58,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
