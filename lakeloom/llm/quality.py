@@ -133,3 +133,13 @@ def judge(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
         scratch.drop("sample")
     out = measures(start).withColumn("base_failed", base_failed()).withColumn("rejected_by", cascade(order, given))
     return out.withColumn("kept", F.col("rejected_by").isNull()).select(*own, *made)
+
+
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    The row number in the condition keeps it above the measures: pushed below them, it would repeat
+    their expressions many times over.
+    """
+    judged = judge(docs).withColumn("__row", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)
