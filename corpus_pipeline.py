@@ -7,7 +7,6 @@ last returns the encoded documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeloom.llm import mixing, neardup, pieces, quality, secretscan
 from lakeloom.llm.common import Scratch
@@ -21,7 +20,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
-    return _columns(quality.judge(_columns(docs)).where(F.col("kept")))
+    return _columns(quality.kept_rows(_columns(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
