@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytehash import Fingerprints, chunks, mix, signed, text_buffers
+from .bytehash import Fingerprints, chunks, mix, released, signed, text_buffers
 from .common import Scratch
 from .components import components
 
@@ -36,7 +36,7 @@ ROWS, BANDS = 4, 28
 M = ROWS * BANDS
 A, B, Q = 20.0, 1.001, 65534
 SMALL, BLOCK = 16, 512
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 MARGIN = 18.0
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = scratch.save(narrow.mapInArrow(_sketch, _SKETCH), "sketch")
+    sketch = scratch.save(narrow.mapInArrow(lambda b: released(_sketch(b)), _SKETCH), "sketch")
     able = sketch.where("doc_id is not null and n_shingles > 0")
     classes = able.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     classes = scratch.save(classes, "classes")
@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     needed = likely.select(F.col("u").alias("id")).union(likely.select(F.col("v").alias("id"))).union(crowd).distinct()
     reps = classes.join(needed, classes["rep"] == needed["id"], "left_semi").select(F.col("rep").alias("doc_id"), "k1", "k2")
     texts = narrow.join(reps.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets, _SETS).join(reps, ["doc_id", "k1", "k2"], "left_semi")
+    sets = texts.mapInArrow(lambda b: released(_sets(b)), _SETS).join(reps, ["doc_id", "k1", "k2"], "left_semi")
     sets = scratch.save(sets.select(F.col("doc_id").alias("id"), "k1", "k2", "n", "members").dropDuplicates(["id", "k1", "k2"]), "sets").select("id", "n", "members")
     end = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("members").alias(f"m{c}"))
     both = F.size(F.array_intersect("mu", "mv"))

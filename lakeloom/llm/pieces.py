@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bytehash import released
 from .common import Scratch, partitions, row_key
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Most frequent words that are broadcast, at most; a few dozen bytes each.
-MAX_HOT = 300_000
+MAX_HOT = 200_000
 #: Words are also cut after so many code points (64 spaces), so that no fold grows beyond them.
 MAX_WORD = 200
 UNKNOWN_PENALTY = 10.0
@@ -329,11 +330,11 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, max_hot: int = MAX_HOT
     least = hot_limit(encoded, max_hot)
     hot = _Opened(spark.sparkContext.broadcast(_Hot(encoded.where(F.col("n") >= least).select("word", "ids").toArrow())))
     shared = spark.sparkContext.broadcast(pieces)
-    rare = narrow.select("rk", "text").mapInArrow(_rare(hot, pieces.word), "rk long, slot int, word string")
+    rare = narrow.select("rk", "text").mapInArrow(lambda b: released(_rare(hot, pieces.word)(b)), "rk long, slot int, word string")
     others = encoded.where(F.col("n") < least).select(F.col("word").alias("form"), "ids")
     own = rare.join(others, F.col("word") == F.col("form")).groupBy("rk").agg(F.collect_list(F.struct("slot", "ids")).alias("rare")).withColumnRenamed("rk", "of")
-    packed = narrow.mapInArrow(_pack, "rk long, doc_id long, packed binary")
-    return packed.join(own, F.col("rk") == F.col("of"), "left").select("doc_id", "packed", "rare").mapInArrow(_assemble(hot, shared), _ENCODED)
+    packed = narrow.mapInArrow(lambda b: released(_pack(b)), "rk long, doc_id long, packed binary")
+    return packed.join(own, F.col("rk") == F.col("of"), "left").select("doc_id", "packed", "rare").mapInArrow(lambda b: released(_assemble(hot, shared)(b)), _ENCODED)
 
 
 def decode(encoded: DataFrame, pieces: Pieces | None = None) -> DataFrame:
