@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .context import OPEN_END, LoadContext, moment
 from .functions.hashing import hashdiff
@@ -145,12 +144,12 @@ def scd1_exceptions(spark, sf):
 
 # ---- satellite -------------------------------------------------------------------------------
 
-_ATTR = F.expr("nullif(event_type, 'error')")
+_ATTR = "nullif(event_type, 'error') as attr"
 _EV = "e as (select user_id, nullif(event_type, 'error') as attr, ts from events)"
 
 
 def _sat(spark, sf, **options):
-    e = _read(spark, sf, "events").select("user_id", _ATTR.alias("attr"), "ts")
+    e = _read(spark, sf, "events").select("user_id", F.expr(_ATTR), "ts")
     old = e.where("user_id % 5 <> 0 and (ts < '2024-01-16' or (user_id % 5 = 2 and ts < '2024-01-20'))")
     last = old.groupBy("user_id").agg(F.max(F.struct("ts", "attr")).alias("m"))
     start = F.date_trunc("day", "m.ts").cast("timestamp_ntz") if options.get("by_date", True) else F.col("m.ts")
@@ -208,7 +207,7 @@ _V = ("user_id", "attr", "valid_from_dttm", "valid_to_dttm")
 
 
 def _last_event(spark, sf, where: str) -> DataFrame:
-    e = _read(spark, sf, "events").select("user_id", _ATTR.alias("attr"), "ts").where(where)
+    e = _read(spark, sf, "events").select("user_id", F.expr(_ATTR), "ts").where(where)
     return e.groupBy("user_id").agg(F.max(F.struct("ts", "attr")).alias("m")).select("user_id", "m.attr", F.col("m.ts").alias("valid_from_dttm"))
 
 
@@ -251,7 +250,7 @@ u as (select *, row_number() over (partition by user_id, vf, vt order by attr nu
 select user_id, attr, tf as valid_from_dttm, tt as valid_to_dttm from t where not exists (select 1 from j where j.user_id = t.user_id and j.tf = t.tf and j.tt = t.tt and j.flag in ('1', '21', '3') and j.tt > j.mn)
 union all select user_id, attr, vf, vt from u where r = 1""")
 def scd2_effective(spark, sf):
-    e = _read(spark, sf, "events").select("user_id", _ATTR.alias("attr"), "ts")
+    e = _read(spark, sf, "events").select("user_id", F.expr(_ATTR), "ts")
     line = Window.partitionBy("user_id").orderBy("ts")
     end = F.coalesce(F.lead("ts").over(line) - F.expr("interval 1 microsecond"), moment(OPEN_END))
     t = e.where("ts < '2024-01-16' and user_id % 5 <> 0").select("user_id", "attr", F.col("ts").alias("valid_from_dttm"), end.alias("valid_to_dttm"))
@@ -436,12 +435,10 @@ select user_id, attr, snap, case when pk is null or k - pk > 1 then 'I' else 'U'
 union all select user_id, attr, (select min(snap) from w where w.k = l.k + 1), 'D' from l where k < 3 and coalesce(nk, 99) <> k + 1""")
 def ods_msg_cdc(spark, sf):
     users = _read(spark, sf, "events").select("user_id").distinct()
-    weeks = spark.createDataFrame([(d, k) for k, d in enumerate(_WEEKS)], "d string, k int").select(F.to_timestamp_ntz("d").alias("snap"), "k")
     present = None
     for k, d in enumerate(_WEEKS):
         part = users.where((F.col("user_id") + k) % 4 != 0).select("user_id", ((F.col("user_id") + k // 2) % 3).alias("attr"), moment(f"{d} 00:00:00").alias("snap"))
         present = part if present is None else present.unionByName(part)
-    del weeks
     return ods.snapshot_changes(present, ["user_id"], ["attr"], "snap").select("user_id", "attr", "snap", "cdc_type_code")
 
 
@@ -457,8 +454,7 @@ def cut_advance(spark, sf):
 
 @_query("select event_id, ts from events where ts > timestamp '2024-01-25' - interval 1 day or event_id > (400 - 10) * 20")
 def cut_filter_lag(spark, sf):
-    e = _read(spark, sf, "events").withColumn("step", F.floor(F.col("event_id") / 20))
-    e = e.withColumn("step", F.col("event_id") / F.lit(20.0))
+    e = _read(spark, sf, "events").withColumn("step", F.col("event_id") / F.lit(20.0))
     return e.where(small.cut_filter({"ts": ("2024-01-25 00:00:00", "TIMESTAMP", 1), "step": ("400", "BIGINT", 10)})).select("event_id", "ts")
 
 
