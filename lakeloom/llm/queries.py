@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import licenses, mixing, neardup, pagetext, pieces, quality, secretscan, suffixdedup, topk, urlfilter
 from .common import table
+from .oracles import oracle_sql  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +59,3 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
