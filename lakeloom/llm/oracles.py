@@ -48,5 +48,28 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     or len(list_filter(ls, lambda s: regexp_matches(s, '^\s*[-*•‣◦]\s'))) > {q.MAX_BULLET_LINES} * greatest(len(ls), 1)) as kept from z"""
 
 
+# The distribution is summed as in the operator, so counts differ only where a hashed number lies within rounding of a threshold.
+MIX_SOURCES = """with d as (select *, coalesce(source, '') as "of", coalesce(cast(doc_id as varchar), 'null') as id from documents),
+n as (select "of", cast(sum(coalesce(length(text), 0)) as double) as n from d group by all),
+r as (select "of", (select sum(n) from n where n > 0) * (1.0 / (select count(*) from n where n > 0)) / n as rate from n where n > 0),
+k as (select "of", rate, unnest(range(0, cast(ceil(rate + 10 * sqrt(rate) + 20) as bigint) + 1)) as k from r),
+g as (select "of", k, sum(case when k = 0 then -rate else ln(rate) - ln(k) end) over (partition by "of" order by k) as lg from k),
+c as (select "of", sum(exp(lg)) over (partition by "of" order by k) as p from g),
+u as (select *, row_number() over () as r, (cast('0x' || substr(md5('17:n:' || id), 1, 13) as bigint) + 0.5) / 4503599627370496.0 as u from d),
+m as (select r, count(*) as n from u join c on u."of" = c."of" and c.p <= u.u group by r),
+x as (select u.*, cast(unnest(range(0, n)) as integer) as copy from u join m using (r))
+select * exclude ("of", id, u, r), cast('0x' || substr(md5('17:o:' || id || ':' || copy), 1, 15) as bigint) as mix_key from x"""
+
+NEAR_DUPLICATES = r"""with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+  else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as sh from w),
+n as (select doc_id, count(*) as n from s group by all),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
+l as (select x, y from p join n a on x = a.doc_id join n b on y = b.doc_id where 100 * c >= 85 * (a.n + b.n - c)),
+e as (select x, y from l union all select y, x from l),
+reach(a, b) as (select doc_id, doc_id from w union select a, y from reach join e on b = x)
+select a as doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, min(b) as component_id, a = min(b) as kept from reach left join n on a = n.doc_id group by a, n"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_top_k": TOP_K, "op5_url_filter": url_filter(), "op10_quality": quality_rules()}
+    return {"op2_mix_sources": MIX_SOURCES, "op8_near_duplicates": NEAR_DUPLICATES, "op3_top_k": TOP_K, "op5_url_filter": url_filter(), "op10_quality": quality_rules()}

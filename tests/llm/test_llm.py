@@ -7,11 +7,13 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from lakeloom.llm import licenses, mixing, neardup, pagetext, pieces, quality, secretscan, suffixdedup, topk, urlfilter
+from lakeloom.llm import licenses, mixing, neardup, pagetext, pieces, quality, queries, secretscan, suffixdedup, topk, urlfilter
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, rk int, n int, host int"
@@ -131,6 +133,64 @@ def test_secrets():
     assert secretscan.find("\\u0070assword: 123456789012")[1] == [(0, 0, 27)]
 
 
+def plain_scan(text):
+    """The contract's base spans by one scan of the whole text with another regular-expression engine."""
+    kinds = ((r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12), (r"AKIA[A-Z0-9]+", 0, 18), (r"[0-9a-f]+", 0, 16))
+    return sorted((m.start(), k, m.end()) for k, (pattern, group, least) in enumerate(kinds) for m in regex.finditer(pattern, text) if len(m.group(group)) >= least)
+
+
+def test_secrets_equal_a_plain_scan(spark, docs):
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    rng = random.Random(11)
+    bits = ["password", "PassWd", "ſecret", "toKen", "api_key", "APIKEY", '"', "'", " ", "  ", ":", "=", "AKIA", "A" * 14, "A" * 13, "0a" * 8, "0a" * 7, "f", "Z9", "+/", "_-.", "é", "\n", "%41", "\\u0041"]
+    texts |= {10_000 + k: "".join(rng.choice(bits) for _ in range(rng.randrange(0, 40))) for k in range(1500)}
+    got = {r.doc_id: r for r in secretscan.find_secrets(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)).collect()}
+    found = Counter()
+    for d, text in texts.items():
+        base = plain_scan(text)
+        r = got[d]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == kind for _, k, _ in base) for kind in range(3))
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{secretscan.KINDS[k]}:{a}:{b}" for a, k, b in base).encode()).hexdigest()
+        spans = [(int(a), secretscan.KINDS.index(k), int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)]
+        assert spans == sorted(set(spans)) and set(base) <= set(spans) and all(0 <= a < b <= len(text) for a, _, b in spans)
+        found.update(k for _, k, _ in base)
+    assert min(found[k] for k in range(3)) > 50
+
+
+def test_secrets_in_random_nestings():
+    wraps = {
+        "percent": lambda s: "".join(f"%{b:02X}" for b in s.encode()),
+        "unicode": lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+        "base64": lambda s: base64.b64encode(s.encode()).decode().rstrip("="),
+        "gzip": lambda s: base64.b64encode(gzip.compress(s.encode(), mtime=0)).decode().rstrip("="),
+    }
+    rng = random.Random(7)
+    for _ in range(300):
+        secret = "secret=" + "".join(rng.choice("ghijkmnpqrstuvwxyz") for _ in range(rng.randrange(12, 30)))
+        wrapped, chain = secret, [rng.choice(sorted(wraps)) for _ in range(rng.randrange(1, 4))]
+        for name in chain:
+            wrapped = wraps[name](wrapped)
+        before = "é then " * rng.randrange(0, 3)
+        spans = secretscan.find(f"{before}{wrapped} end")[1]
+        assert any(k == 0 and len(before) <= a < b <= len(before) + len(wrapped) for a, k, b in spans), chain
+        hidden = secretscan.hide(f"{before}{wrapped} end")
+        assert not any(k == 0 for _, k, _ in secretscan.find(hidden)[1]), chain
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_sql(spark, name):
+    db = duckdb.connect()
+    for t in ("documents", "pages", "embeddings"):
+        db.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
+    df = queries.queries()[name](spark, SF)
+    cols = sorted(df.columns)
+    found = db.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in found.description]
+    assert sorted(names) == cols
+    want = sorted(repr(tuple(r[names.index(c)] for c in cols)) for r in found.fetchall())
+    assert want and sorted(repr(tuple(r)) for r in df.select(*cols).collect()) == want
+
+
 def test_url_filter(spark):
     urls = ["http://a.Example.com/en/71?x", "https://example.com/en/6", "http://www.spam-farm.example.org/x/", "http://x.net/de/1", "http://example.net/de/8", None, "nothing", "http://org/es/1#a", "http://spam-farm.example.org.net/"]
     listed = spark.createDataFrame([("HTTP://Spam-Farm.example.org",), (None,)], "entry string")
