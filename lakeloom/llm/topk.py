@@ -39,7 +39,7 @@ def _vectors(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     values = column.values.to_numpy(zero_copy_only=False)  # nulls become NaN
     bad = np.concatenate([[0], np.cumsum(~np.isfinite(values))])
     null = column.is_null().to_numpy(zero_copy_only=False) | batch.column("vec_id").is_null().to_numpy(zero_copy_only=False)
-    rows = np.flatnonzero(~null & (bad[offsets[1:]] == bad[offsets[:-1]]))
+    rows = np.flatnonzero(~null & (np.diff(offsets) > 0) & (bad[offsets[1:]] == bad[offsets[:-1]]))
     with np.errstate(invalid="ignore", over="ignore"):
         whole = np.floor(values * SCALE)
     if len(rows) and (np.abs(np.where(np.isfinite(values), whole, 0)) >= 2.0**62).any():
@@ -189,7 +189,7 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
 
     ``vectors(vec_id, embedding, ...)``; a component x counts as floor(256 x), the score is the
     integer inner product, ties go to the smaller id, and a query is no result of its own id.
-    Rows with a null id, a null vector, or a null or non-finite component take no part; vectors of
+    Rows with a null id, a null or empty vector, or a null or non-finite component take no part; vectors of
     another length than the query's are not compared with it; repeated rows count once; a query
     with fewer than ``k`` others gets them all, one with none no row; further columns are ignored.
     """

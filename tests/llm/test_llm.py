@@ -258,3 +258,33 @@ def test_empty_tables(spark):
     assert pagetext.extract(pages).collect() == []
     assert urlfilter.filter_urls(pages, spark.createDataFrame([], "entry string")).collect() == []
     assert licenses.scan(spark.createDataFrame([], "doc_id long, path string, text string")).collect() == []
+
+
+CLASHING = ("rk", "n", "host", "path", "rule", "verdict", "entry", "kept", "score", "rank", "cell", "v", "query_id", "license", "n_chars", "h1", "block")
+
+
+def clashing(df, *own):
+    return df.select("*", *[F.lit(7).alias(c) for c in CLASHING if c not in own])
+
+
+def test_odd_pages(spark):
+    rows = [(None, None, None), (1, "", ""), (2, "http://h/1", "<p>same</p>"), (2, "http://h/1", "<p>same</p>"), (3, None, "<p>" + "long word " * 30000 + "</p>"), (4, "://", "<<<>&#0;&bogus;<p")]
+    pages = clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    texts = sorted(((r.page_id is not None, r.page_id), r.n_chars, len(r.text)) for r in pagetext.extract(pages).collect() if r.page_id is not None)
+    assert [t[0][1] for t in texts] == [1, 2, 2, 3, 4] and all(n == size for _, n, size in texts) and texts[3][1] == 299_999
+    listed = spark.createDataFrame([(None,), ("",), ("h",), ("h",)], "entry string")
+    urls = urlfilter.filter_urls(pages, listed).collect()
+    assert sorted((r.page_id or 0, r.host, r.path, r.verdict) for r in urls) == [(0, "", "", "allow"), (1, "", "", "allow"), (2, "h", "/1", "block"), (2, "h", "/1", "block"), (3, "", "", "allow"), (4, "", "", "allow")]
+
+
+def test_odd_vectors(spark):
+    rows = [(None, None), (0, []), (1, None), (50, [1.0, 1.0]), (51, [1.0, 1.0]), (52, [1.0, 1.0]), (53, [1.0, None]), (54, [float("inf"), 1.0])]
+    vectors = clashing(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(vectors, F.col("vec_id") % 50 == 0).collect())
+    assert got == [(50, 1, 51, 131072), (50, 2, 52, 131072)]
+
+
+def test_odd_files(spark):
+    rows = [(None, None, None), (1, "", ""), (2, "/", "MIT License"), (3, "a//b/", "x " * 50000), (4, "a/LICENSE", None), (4, "a/LICENSE", None)]
+    files = clashing(spark.createDataFrame(rows, "doc_id long, path string, text string"), "path")
+    assert sorted(r.doc_id or 0 for r in licenses.scan(files).collect()) == [0, 1, 2, 3, 4, 4]
