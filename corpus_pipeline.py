@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return _columns(neardup.keep_one(_columns(docs)))
+    """One document of each group of near-duplicates (a similarity of 0.8 or more) stays."""
+    return _columns(neardup.keep_one(_columns(docs), num=80, den=100))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ and two sets agree in a register with a probability that follows their Jaccard s
 
 1. Rows with equal sets form a class (128-bit key); one id of each class goes on.
 2. Registers are banded by ``ROWS``; classes that share a band value are candidates. At a
-   similarity of 0.85 a pair is missed with a probability of 1e-9 (``BANDS`` bands).
+   similarity of 0.8 a pair is missed with a probability of 4e-7, at 0.85 of 1e-9 (``BANDS`` bands).
 3. A band value of at most ``SMALL`` classes gives its pairs, a larger one a star.
 4. The joint likelihood of two sketches, with the exact set sizes, drops pairs whose best
    similarity from the threshold up is e**-18 times less likely than their best at all.
@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
                       F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def keep_one(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
+def keep_one(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, with all their columns.
 
     Of repeated rows of one kept ``doc_id`` a single one stays; rows with a null id all stay.

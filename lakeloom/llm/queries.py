@@ -46,7 +46,7 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), num=85, den=100)
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

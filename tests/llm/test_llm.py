@@ -13,6 +13,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakeloom.llm import licenses, mixing, neardup, pagetext, pieces, quality, queries, secretscan, suffixdedup, topk, urlfilter
 
 SF = "/root/testdata/sf0.001"
@@ -67,6 +68,15 @@ def test_near_duplicates(spark, docs):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted((d, len(sets[d]), find(d), find(d) == d) for d in sets)
 
 
+def test_pipeline_drops_near_duplicates_from_80_percent(spark):
+    words = [f"w{k}" for k in range(100)]
+    copy = [f"x{k}" if k in (30, 60) else w for k, w in enumerate(words)]  # 86 of 106 shingles: 0.81
+    rows = [(k, " ".join(w), "en", "a", len(" ".join(w))) for k, w in enumerate((words, copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()] == [0]
+    assert neardup.near_duplicates(docs, num=85, den=100).where("kept").count() == 2
+
+
 def brute_repeats(rows, length):
     raws = [(t or "").encode() for _, t in rows]
     seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
