@@ -2,10 +2,12 @@
 
 A layer is a string with, for every code point, the span of the original text it came from. The
 text itself is the first layer. Each layer is scanned for secrets, then unwrapped: percent
-escapes and ``\\u`` / ``\\x`` escapes in place, base64 tokens (plain, URL-safe or in lines) and
-gzip, zlib, bzip2 and xz data inside them. New layers join the worklist until none is left; a
-layer met before at the same place is not taken again, so cycles end. No shuffle, no state
-beyond one text.
+escapes and ``\\u`` / ``\\x`` escapes in place, base64 tokens (plain, URL-safe or in lines, from each
+of their first four characters) and gzip, zlib, bzip2 and xz data anywhere inside them, with all
+their members. Bytes that are not UTF-8 are read as replacement characters, so a layer is scanned
+whatever it holds. Unpacked data are scanned in blocks, cut where no secret and no token can lie.
+New layers join the worklist until none is left; a layer met before at the same place is not
+taken again, so cycles end. No shuffle, no state beyond one text and its open blocks.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -33,14 +36,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 
-#: A layer that unpacks to more bytes than this is not opened but counted in ``n_unopened``.
-MAX_LAYER = 1 << 26
+#: Unpacked data are read in blocks of about so many bytes.
+BLOCK = 1 << 20
 
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 _ESCAPE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
-_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{40,}\r?\n)+[A-Za-z0-9+/]{4,}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40,}+\r?\n)+[A-Za-z0-9+/]{4,}")
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00")
+# bytes that no secret, escape or token holds; the second kind may lie inside a character
+_APART = (re.compile(rb"[^\x80-\xbfA-Za-z0-9+/_.=:%\\{}\"'\x20\r\n-]"), re.compile(rb"[^A-Za-z0-9+/_.=:%\\{}\"'\x20\r\n-]"))
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
@@ -79,19 +85,26 @@ def _unescape(text: str, pattern: re.Pattern, decode) -> tuple[str, list[int], l
     return "".join(out), starts, ends
 
 
-def _percent(run: str):
+def _percent(run: str, strict: bool = True):
+    raw = bytes.fromhex(run.replace("%", ""))
     try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
+        text = raw.decode(errors="strict" if strict else "surrogateescape")
     except UnicodeDecodeError:
         return None
     out, at = [], 0
     for c in text:
-        width = 3 * len(c.encode())
-        out.append((c, at, at + width))
+        damaged = 0xDC80 <= ord(c) <= 0xDCFF
+        width = 3 if damaged else 3 * len(c.encode())
+        out.append(("\ufffd" if damaged else c, at, at + width))
         at += width
     return out
 
 
+def _percent_any(run: str):
+    """The same, with a replacement character for each byte that is not UTF-8."""
+    return _percent(run, False)
+
+
 def _escape(run: str):
     codes = [(int(next(g for g in m.groups() if g), 16), m.start(), m.end()) for m in _ESCAPE_ONE.finditer(run)]
     out, k = [], 0
@@ -104,94 +117,200 @@ def _escape(run: str):
     return out
 
 
-def _unpack(raw: bytes) -> tuple[bytes | None, bool]:
-    """Decompressed data if ``raw`` is compressed, and whether it was too large."""
-    if raw[:2] == b"\x1f\x8b":
-        make = lambda: zlib.decompressobj(31)
-    elif raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0:
-        make = lambda: zlib.decompressobj(15)
-    elif raw[:3] == b"BZh":
-        make = bz2.BZ2Decompressor
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        make = lzma.LZMADecompressor
-    else:
-        return None, False
-    try:
-        data = make().decompress(raw, MAX_LAYER + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None, False
-    return (None, True) if len(data) > MAX_LAYER else (data or None, False)
+def _decoder(head: bytes):
+    """A decompressor if ``head`` begins compressed data."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj(15)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _unpack(source: Iterator[bytes]) -> Iterator[bytes]:
+    """The unpacked blocks of all members; of damaged data, those before the damage."""
+    rest = b""
+    while True:
+        while len(rest) < 6 and (more := next(source, None)) is not None:
+            rest = (rest + more).lstrip(b"\0")  # padding between members
+        member = _decoder(rest)
+        if member is None:
+            return
+        feed = rest
+        while not member.eof:
+            try:
+                data = member.decompress(feed, BLOCK)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                return
+            if data:
+                yield data
+            feed = getattr(member, "unconsumed_tail", b"")
+            if not member.eof and (member.needs_input if hasattr(member, "needs_input") else not feed and len(data) < BLOCK):
+                more = next(source, None)
+                if more is None:
+                    return
+                feed += more
+        rest = member.unused_data.lstrip(b"\0")
+
+
+def _logged(source: Iterator[bytes], log: list[bytes], on: list[bool]) -> Iterator[bytes]:
+    for block in source:
+        if on:
+            log.append(block)
+        yield block
+
+
+def _open(raw: bytes) -> tuple[Iterator[bytes] | None, bool]:
+    """Blocks of what ``raw`` holds after all its levels of compression, and whether a level was left closed.
+
+    A level that begins like one before it is not opened: data that unpack to themselves end there.
+    """
+    head, stream, met, levels = raw, iter(()), {_digest(raw)}, 0
+    while _decoder(head) is not None:
+        log, on = [], [True]
+        source = _logged(stream, log, on)
+        inner = _unpack(itertools.chain([head], source))
+        first = next(inner, None)
+        if first is None:  # not compressed after all
+            stream = itertools.chain(log, source)
+            break
+        on.clear()
+        key = _digest(first)
+        if key in met:
+            return (itertools.chain([first], inner), True) if len(first) >= BLOCK else (None, False)
+        met.add(key)
+        head, stream, levels = first, inner, levels + 1
+    return (itertools.chain([head], stream) if levels else None), False
+
+
+def _blocks(source: Iterator[bytes]) -> Iterator[bytes]:
+    """The data dealt anew, cut only where no secret and no token can lie; without such a place, uncut."""
+    held, size = [], 0
+    for data in source:
+        size += len(data)
+        cut = -1
+        for pattern in _APART if size >= BLOCK else ():
+            cut = max((m.start() for m in pattern.finditer(data, max(0, len(data) - 4096))), default=-1)
+            if cut < 0 and (m := pattern.search(data)):
+                cut = m.start()
+            if cut >= 0:
+                break
+        if cut < 0:
+            held.append(data)
+            continue
+        yield b"".join([*held, data[:cut]])
+        held, size = [data[cut:]], len(data) - cut
+    if held:
+        yield b"".join(held)
+
+
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _readable(raw: bytes) -> str | None:
+def _text(raw: bytes) -> tuple[str, bool]:
+    """The text of the bytes, and whether it is text throughout."""
     try:
         text = raw.decode()
     except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\n\r\t" for c in text) else None
+        return raw.decode(errors="replace"), False
+    return text, len(text) >= 8 and all(c.isprintable() or c in "\n\r\t" for c in text)
 
 
-def _base64(token: str) -> bytes | None:
-    body = token.translate(_URL_SAFE).replace("\r", "").replace("\n", "").rstrip("=")
-    if len(body) % 4 == 1:
-        return None
+def _base64(token: str, skip: int = 0) -> bytes:
+    """The bytes of the token from its character ``skip`` on; a last character that makes no byte goes."""
+    body = token.translate(_URL_SAFE).replace("\r", "").replace("\n", "").rstrip("=")[skip:]
+    body = body[: len(body) - (len(body) % 4 == 1)]
     try:
         return base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
-        return None
+        return b""
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
-    """Base spans, all spans, the number of layers beyond the text, and of those not opened."""
+    """Base spans, all spans, the number of layers beyond the text, and of those not opened.
+
+    A layer that is not text throughout counts only if it holds a secret.
+    """
     runs = list(_RUN.finditer(text))
     base = scan(text, runs)
     if not runs and "%" not in text and "\\" not in text:
         return base, base, 0, 0
     spans, layers, unopened = set(base), 0, 0
-    seen: set[tuple[str, int, int]] = set()
-    work: list[tuple[str, list[int] | range, list[int] | range]] = [(text, range(len(text)), range(1, len(text) + 1))]
+    seen: set[tuple[bytes, int, int]] = set()
+    # iterators of layers; only the last one is read, so that one block of unpacked data is held at a time
+    work: list[Iterator[tuple[str, list[int] | range, list[int] | range]]] = [iter([(text, range(len(text)), range(1, len(text) + 1))])]
 
-    def push(new: str, starts, ends) -> None:
-        nonlocal layers
-        key = (new, starts[0], ends[-1])
-        if key in seen:
-            return
-        seen.add(key)
-        layers += 1
-        spans.update((starts[a], kind, ends[b - 1]) for a, kind, b in scan(new))
-        work.append((new, starts, ends))
+    def fresh(new: str, lo: int, hi: int) -> bool:
+        key = (_digest(new.encode(errors="surrogatepass")), lo, hi)
+        return not (key in seen or seen.add(key))
 
-    def opened(raw: bytes, lo: int, hi: int, exact: tuple[list[int], list[int]] | None) -> None:
+    def taken(new: str, starts, ends) -> bool:
+        found = scan(new)
+        spans.update((starts[a], kind, ends[b - 1]) for a, kind, b in found)
+        return bool(found)
+
+    def push(new: str, sure: bool, places) -> None:
+        nonlocal layers
+        if not sure and not ("%" in new or "\\" in new or _RUN.search(new) or scan(new)):
+            return  # nothing can come of it
+        starts, ends = places()
+        if new and fresh(new, starts[0], ends[-1]):
+            layers += taken(new, starts, ends) or sure
+            work.append(iter([(new, starts, ends)]))
+
+    def unpacked(source: Iterator[bytes], lo: int, hi: int):
+        nonlocal layers
+        sure, hit, any_fresh = True, False, False
+        for block in _blocks(source):
+            new, clean = _text(block)
+            sure &= clean
+            if new and fresh(new, lo, hi):
+                any_fresh = True
+                starts, ends = [lo] * len(new), [hi] * len(new)
+                hit |= taken(new, starts, ends)
+                yield new, starts, ends
+        layers += any_fresh and (sure or hit)
+
+    def opened(raw: bytes, sure: bool, lo: int, hi: int, exact) -> None:
         nonlocal unopened
-        while True:
-            data, large = _unpack(raw)
-            unopened += large
-            if data is None or data == raw:
-                break
-            raw, exact = data, None
-        inner = _readable(raw)
-        if inner and len(inner) >= 8:
-            if exact and len(inner) == len(raw):
-                push(inner, *exact)
-            else:
-                push(inner, [lo] * len(inner), [hi] * len(inner))
+        packed = False
+        for at in dict.fromkeys([0, *(m.start() for m in _PACKED.finditer(raw))]):
+            source, closed = _open(raw[at:])
+            unopened += closed
+            if source is not None:
+                packed |= at == 0
+                work.append(unpacked(source, lo, hi))
+        inner, clean = _text(raw)
+        push(inner, sure and clean and not packed, exact if exact and len(inner) == len(raw) else lambda: ([lo] * len(inner), [hi] * len(inner)))
 
     while work:
-        layer, starts, ends = work.pop()
-        for mark, pattern, decode in (("%", _PERCENT, _percent), ("\\", _ESCAPE, _escape)):
+        item = next(work[-1], None)
+        if item is None:
+            work.pop()
+            continue
+        layer, starts, ends = item
+        for mark, pattern, decode in (("%", _PERCENT, _percent), ("%", _PERCENT, _percent_any), ("\\", _ESCAPE, _escape)):
             if mark in layer and (got := _unescape(layer, pattern, decode)) and got[0]:
                 new, a, b = got
-                push(new, [starts[k] for k in a], [ends[k - 1] for k in b])
+                push(new, decode is not _percent_any, lambda: ([starts[k] for k in a], [ends[k - 1] for k in b]))  # noqa: B023
         here = runs if layer is text else list(_RUN.finditer(layer))
         tokens = [(m.start(), m.end()) for m in here]
         if any(b - a >= 40 for a, b in tokens) and "\n" in layer:
             tokens += [m.span() for m in _WRAPPED.finditer(layer)]
         for a, b in tokens:
-            raw = _base64(layer[a:b])
-            if raw and len(raw) >= 8:
-                plain = "\n" not in layer[a:b]
-                exact = ([starts[a + 4 * (k // 3) + k % 3] for k in range(len(raw))], [ends[min(b - 1, a + 4 * (k // 3) + k % 3 + 1)] for k in range(len(raw))]) if plain else None
-                opened(raw, starts[a], ends[b - 1], exact)
+            token = layer[a:b]
+            plain = "\n" not in token
+            for skip in range(4):
+                raw = _base64(token, skip)
+                if len(raw) < 8:
+                    continue
+                first = a + skip if plain else a
+                exact = lambda: ([starts[first + 4 * (k // 3) + k % 3] for k in range(len(raw))], [ends[min(b - 1, first + 4 * (k // 3) + k % 3 + 1)] for k in range(len(raw))])  # noqa: B023, E731
+                opened(raw, skip == 0, starts[first], ends[b - 1], exact if plain else None)
     return base, sorted(spans), layers, unopened
 
 

@@ -1,8 +1,10 @@
 """The training-data operators against brute force on small tables, and their edge cases."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 from collections import Counter
@@ -187,6 +189,28 @@ def test_secrets_in_random_nestings():
         assert not any(k == 0 for _, k, _ in secretscan.find(hidden)[1]), chain
 
 
+def test_secrets_in_layers_of_any_characters():
+    secret = b"password = " + b"q7" * 10
+    b64 = lambda raw: base64.b64encode(raw).decode().rstrip("=")
+    noise = random.Random(5).randbytes(1 << 16)
+    encoded = [
+        b64("d\u00e9j\u00e0\u00a0vu ".encode() + secret), b64(b"\xef\xbb\xbf" + secret), b64(b"page\x0c" + secret), b64(b"\xff\xfe" + secret),
+        b64(gzip.compress(b"caf\xe9 " + secret)), b64(gzip.compress(noise + b" " + secret + b" " + noise)),
+        *(b64(pack(b"first") + pack(secret)) for pack in (gzip.compress, bz2.compress, lzma.compress)),
+        *("x" * k + b64(secret + b" ok") for k in range(1, 4)), *("x" * k + b64(gzip.compress(secret)) for k in range(1, 9)), b64(secret + b"!!") + "x",
+        "%FF" + "".join(f"%{c:02x}" for c in secret) + "%C3",
+        b64(gzip.compress(b"ab, cd\0" * (12 << 20) + secret)),  # 84 MB unpacked
+        b64(gzip.compress(gzip.compress(b"ab, cd\0" * (1 << 20) + secret + b"\n" + b"fgh, " * (1 << 18)))),
+    ]
+    for text in encoded:
+        base, spans, layers, unopened = secretscan.find(f"see {text} end")
+        assert not [s for s in base if s[1] == 0] and unopened == 0 and layers >= 1, text[:60]
+        assert any(kind == 0 and 4 <= a < b <= 4 + len(text) for a, kind, b in spans), text[:60]
+    long = b"a" * (3 << 20) + b" password = " + b"q" * (3 << 20) + b"\n"
+    assert b"".join(secretscan._blocks(iter([long[k : k + 1000] for k in range(0, len(long), 1000)]))) == long
+    assert secretscan.find(b64(gzip.compress(b"!" * (1 << 20) + long)))[1][0][1] == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
