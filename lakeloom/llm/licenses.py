@@ -1,7 +1,7 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-DataFrame functions only. Document frequencies of the templates' terms are counted over all
-texts; a term outside the templates weighs as one in no text. Weights are whole thousandths, so
+DataFrame functions only. Document frequencies are counted over all texts, for the templates'
+terms and for every term of a unit. Weights are whole thousandths, so
 results do not depend on the order of sums.
 
 A unit is a line (a header) or a whole text of at most ``MAX_FILE_WORDS`` words (a licence file).
@@ -56,10 +56,9 @@ def _terms(text: str) -> list[str]:
     return [w for w in re.split(r"[\W_]+", text.lower()) if w]
 
 
-def weights(counts: Mapping[str, int], n: int, vocabulary: list[str]) -> tuple[dict[str, int], int]:
-    """Weights in thousandths (1 + ln((1 + n) / (1 + df))) and that of an unknown term."""
-    weigh = lambda df: 1000 + round(1000 * math.log((1 + n) / (1 + df)))
-    return {t: weigh(counts.get(t, 0)) for t in vocabulary}, weigh(0)
+def weights(counts: Mapping[str, int], n: int, vocabulary: list[str]) -> dict[str, int]:
+    """Weights in thousandths: 1 + ln((1 + n) / (1 + df))."""
+    return {t: 1000 + round(1000 * math.log((1 + n) / (1 + counts.get(t, 0)))) for t in vocabulary}
 
 
 def strong_terms(vectors: list[dict[str, int]], threshold: float) -> list[str]:
@@ -82,7 +81,8 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     listed = F.array(*[F.lit(t) for t in vocabulary])
     counted = files.select(F.explode(F.array_intersect(terms(F.col("text")), listed)).alias("term")).groupBy("term").count()
     counts = {r["term"]: r["count"] for r in counted.collect()}  # at most as many rows as the templates have terms
-    weight, unknown = weights(counts, files.count(), vocabulary)
+    n = files.count()
+    weight = weights(counts, n, vocabulary)
     vectors = [{t: ts.count(t) * weight[t] for t in set(ts)} for ts in tokens]
     strong = strong_terms(vectors, threshold)
     # these tables are as small as the templates
@@ -95,7 +95,13 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     whole = opened.select("rk", F.lit(-1).alias("unit"), terms(F.col("text")).alias("words")).where(F.size("words") <= MAX_FILE_WORDS)
     units = lines.union(whole).where(F.arrays_overlap("words", F.array(*[F.lit(t) for t in strong])))
     spread = units.select("rk", "unit", F.explode("words").alias("term")).groupBy("rk", "unit", "term").agg(F.count("*").alias("tf"))
-    spread = spread.join(weighed, F.col("term") == F.col("known"), "left").select("rk", "unit", "term", (F.col("tf") * F.coalesce("weight", F.lit(unknown))).alias("x"))
+    scratch = Scratch(spark, "licenses-units")
+    spread = scratch.save(spread, "spread")
+    others = spread.select("term").distinct().join(weighed, F.col("term") == F.col("known"), "left_anti")
+    texts = files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("other")).groupBy("other").agg(F.count("*").alias("df"))
+    rare = texts.join(others, F.col("other") == F.col("term"), "left_semi").select("other", (F.lit(1000) + F.round(1000 * F.log(F.lit(1.0 + n) / (1 + F.col("df"))))).cast("long").alias("counted"))
+    rare = scratch.save(rare, "weights")
+    spread = spread.join(weighed, F.col("term") == F.col("known"), "left").join(rare, F.col("term") == F.col("other"), "left").select("rk", "unit", "term", (F.col("tf") * F.coalesce("weight", "counted")).alias("x"))
     length = spread.groupBy("rk", "unit").agg(F.sum((F.col("x") * F.col("x"))).cast("double").alias("own"))
     dots = spread.join(sides, F.col("term") == F.col("shared")).groupBy("rk", "unit", "template").agg(F.sum(F.col("x") * F.col("value")).cast("double").alias("dot"))
     scored = dots.join(length, ["rk", "unit"]).join(norms, F.col("template") == F.col("of"))

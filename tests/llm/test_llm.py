@@ -279,6 +279,17 @@ def test_licenses(spark):
     assert got == sorted([(1, "MIT", "file"), (2, "MIT", "inherited"), (3, None, None), (4, "Apache-2.0", "header"), (5, None, None), (6, "MIT", "inherited"), (6, "MIT", "inherited")], key=lambda r: r[0])
 
 
+def test_licence_line_with_a_common_word(spark):
+    prose = [f"on w{k} v{k}" for k in range(300)]
+    rows = [(k, f"p{k}/x", t) for k, t in enumerate(["code\non Released under the MIT License.\nmore code here", *prose])]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).where("license is not null").collect()
+    counts = Counter(w for _, _, t in rows for w in set(re.findall(r"\w+", t.lower())))
+    weight = {w: 1000 + round(1000 * np.log((1 + len(rows)) / (1 + counts[w]))) for w in "on released under the mit license".split()}
+    shared = sum(x * x for w, x in weight.items() if w != "on")
+    assert [(r.doc_id, r.license, r.kind, r.score) for r in got] == [(0, "MIT", "header", int(1000 * shared / np.sqrt(shared * (shared + weight["on"] ** 2)) + 1e-9))]
+    assert got[0].score > 950
+
+
 @pytest.mark.parametrize("operator", [neardup.near_duplicates, neardup.keep_one, suffixdedup.remove_repeats, quality.judge, quality.kept_rows, secretscan.find_secrets, secretscan.redact, mixing.mix, pieces.encode])
 def test_odd_and_empty_documents(odd, operator):
     n = len(operator(odd).collect())
