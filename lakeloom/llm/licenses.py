@@ -4,7 +4,10 @@ DataFrame functions only. Document frequencies are counted over all texts, for t
 terms and for every term of a unit. Weights are whole thousandths, so
 results do not depend on the order of sums.
 
-A unit is a line (a header) or a whole text of at most ``MAX_FILE_WORDS`` words (a licence file).
+A unit is a line or a window of consecutive lines (a header), or a whole text of any length (a
+licence file). A window takes lines until it holds as many words as the longest template; lines
+without words are passed over, and a window that begins or ends with a line without a template's
+term is left out, as it scores no more without that line.
 Only texts with a strong term are opened: a unit that shares nothing but a template's lightest
 terms, whose squares sum to less than the squared threshold of its norm, cannot reach the
 threshold (Cauchy-Schwarz), so nothing is lost. Units meet templates by equi-joins on terms.
@@ -26,7 +29,6 @@ from pyspark.sql import functions as F
 from .common import Scratch, row_key
 
 THRESHOLD = 0.7
-MAX_FILE_WORDS = 400
 
 # Short notices of well-known public licences, several for one licence.
 TEMPLATES = (
@@ -91,11 +93,19 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     norms = F.broadcast(spark.createDataFrame([(k, name, float(sum(x * x for x in v.values()))) for k, (v, (name, _)) in enumerate(zip(vectors, templates, strict=True))], "of int, license string, square double"))
 
     opened = files.where(F.arrays_overlap(terms(F.col("text")), F.array(*[F.lit(t) for t in strong])))
-    lines = opened.select("rk", F.posexplode(F.split("text", "\n")).alias("unit", "line")).select("rk", "unit", terms(F.col("line")).alias("words"))
-    whole = opened.select("rk", F.lit(-1).alias("unit"), terms(F.col("text")).alias("words")).where(F.size("words") <= MAX_FILE_WORDS)
+    longest = max(len(ts) for ts in tokens)
+    scratch = Scratch(spark, "licenses-units")
+    lines = opened.select("rk", F.filter(F.transform(F.split("text", "\n"), terms), lambda ws: F.size(ws) > 0).alias("lines")).where(F.size("lines") > 0)
+    lines = scratch.save(lines, "lines")  # cut once; without the table each window would cut its text again
+    starts = lines.select("rk", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.slice("lines", i + 1, F.lit(longest)))).alias("at", "run"))
+    starts = starts.where(F.arrays_overlap(F.col("run")[0], listed))
+    within = lambda k: F.aggregate(F.slice("run", F.lit(1), k - 1), F.lit(0), lambda acc, ws: acc + F.size(ws)) < longest
+    ends = F.filter(F.sequence(F.lit(1), F.size("run")), lambda k: within(k) & F.arrays_overlap(F.element_at("run", k), listed))
+    windows = starts.select("rk", "at", "run", F.explode(ends).alias("k"))
+    lines = windows.select("rk", (F.col("at").cast("long") * longest + F.col("k") - 1).alias("unit"), F.flatten(F.slice("run", F.lit(1), F.col("k"))).alias("words"))
+    whole = opened.select("rk", F.lit(-1).cast("long").alias("unit"), terms(F.col("text")).alias("words"))
     units = lines.union(whole).where(F.arrays_overlap("words", F.array(*[F.lit(t) for t in strong])))
     spread = units.select("rk", "unit", F.explode("words").alias("term")).groupBy("rk", "unit", "term").agg(F.count("*").alias("tf"))
-    scratch = Scratch(spark, "licenses-units")
     spread = scratch.save(spread, "spread")
     others = spread.select("term").distinct().join(weighed, F.col("term") == F.col("known"), "left_anti")
     texts = files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("other")).groupBy("other").agg(F.count("*").alias("df"))
@@ -114,7 +124,7 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
 def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, path, license, kind, score, found_in`` for every row of ``files(doc_id, path, text, ...)``.
 
-    ``kind`` is ``file`` (the text is little but a licence), ``header`` (a line of it is like one),
+    ``kind`` is ``file`` (the text is little but a licence), ``header`` (a line or some consecutive lines of it are like one),
     ``inherited`` (from the licence file of the nearest directory upwards) or null; ``found_in`` is
     the directory the licence holds for, or the path itself for a header. Null and empty texts
     have no licence of their own; a null path has no directory; of several licence files of a

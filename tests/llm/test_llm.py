@@ -290,6 +290,16 @@ def test_licence_line_with_a_common_word(spark):
     assert got[0].score > 950
 
 
+def test_licence_wrapped_over_lines_and_long_files(spark):
+    grant = licenses.TEMPLATES[1][1].split()
+    wrapped = "\n".join("# " + " ".join(grant[k : k + 10]) for k in range(0, len(grant), 10))
+    code = "\n".join(f"a{k} = b{k} + c{k}" for k in range(300))
+    rows = [(1, "p/a.py", f"# the thing\n#\n{wrapped}\n\n{code}"), (2, "q/LICENSE", "\n".join([licenses.TEMPLATES[5][1]] * 20)), (3, "q/r/x.py", code)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).orderBy("doc_id").collect()
+    assert [(r.license, r.kind) for r in got] == [("MIT", "header"), ("GPL-3.0", "file"), ("GPL-3.0", "inherited")]
+    assert got[0].score == 1000
+
+
 @pytest.mark.parametrize("operator", [neardup.near_duplicates, neardup.keep_one, suffixdedup.remove_repeats, quality.judge, quality.kept_rows, secretscan.find_secrets, secretscan.redact, mixing.mix, pieces.encode])
 def test_odd_and_empty_documents(odd, operator):
     n = len(operator(odd).collect())
