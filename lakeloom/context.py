@@ -30,11 +30,15 @@ class LoadContext:
 
 @dataclass(frozen=True)
 class LoadResult:
-    """A table's next state, the rows that the load adds, and rows it takes exception to."""
+    """A table's next state, the rows that the load adds, and rows it takes exception to.
+
+    ``insert_only``: the next state is the present one and the changes, so a store need only append.
+    """
 
     target: DataFrame
     changes: DataFrame
     exceptions: DataFrame | None = None
+    insert_only: bool = False
 
 
 def moment(text: str) -> Column:

@@ -9,27 +9,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..context import OPEN_END, LoadContext, moment
+from ..context import FIRST, OPEN_END, LoadContext, moment
 from ..functions.hashing import hashdiff
 
 # Source spellings of the three change types.
-STATUS = {"I": ("i", "insert", "inserted", "create", "created"), "U": ("u", "update", "updated"), "D": ("d", "delete", "deleted")}
+STATUS = {"I": ("create", "created", "adjust.created", "insert", "inserted"), "U": ("update", "updated"), "D": ("delete", "deleted")}
 
 
 def status_code(column: Column) -> Column:
-    """I, U or D; null for anything else."""
-    out = F.lit(None).cast("string")
+    """I, U or D for the known spellings; any other code as it is."""
+    out = column
     for code, names in STATUS.items():
-        out = F.when(F.lower(F.trim(column)).isin(*names), code).otherwise(out)
+        out = F.when(F.lower(column).isin(*names), code).otherwise(out)
     return out
 
 
-def _line(keys, version: str, desc: bool = False):
-    return Window.partitionBy(*keys).orderBy(F.desc(version) if desc else F.asc(version))
+def _line(keys, version: str, ties=(), desc: bool = False):
+    """By version; rows of one version by ``ties``, nulls last (first, where the order is turned round)."""
+    return Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_first() if desc else F.col(c).asc_nulls_last() for c in (version, *ties)])
 
 
-def _ranked(df: DataFrame, keys, version: str) -> DataFrame:
-    return df.withColumns({"rn_asc": F.row_number().over(_line(keys, version)), "rn_desc": F.row_number().over(_line(keys, version, True))})
+def _ranked(df: DataFrame, keys, version: str, ties=()) -> DataFrame:
+    return df.withColumns({"rn_asc": F.row_number().over(_line(keys, version, ties)), "rn_desc": F.row_number().over(_line(keys, version, ties, True))})
 
 
 def dedup_events(events: DataFrame, keys, attrs, version: str, status: str) -> DataFrame:
@@ -38,22 +39,23 @@ def dedup_events(events: DataFrame, keys, attrs, version: str, status: str) -> D
     Within the batch an insert after anything is an update.
     """
     rows = events.withColumns({"hash": hashdiff(attrs), "cdc_type_code": status_code(F.col(status))})
-    before = _line(keys, version)
+    ties = (*attrs, status)
+    before = _line(keys, version, ties)
     rows = rows.withColumns({"__hash": F.lag("hash").over(before), "__type": F.lag("cdc_type_code").over(before)})
     pair = F.concat("cdc_type_code", "__type")
     repeat = (F.col("hash") == F.col("__hash")) & ~pair.isin("DI", "DU", "ID", "UD")
     rows = rows.where(~F.coalesce(repeat, F.lit(False)))
     rows = rows.withColumn("cdc_type_code", F.when((F.col("cdc_type_code") == "I") & F.col("__type").isin("I", "U", "D"), "U").otherwise(F.col("cdc_type_code")))
-    return _ranked(rows.drop("__hash", "__type"), keys, version)
+    return _ranked(rows.drop("__hash", "__type"), keys, version, ties)
 
 
 def increment_rows(rows: DataFrame, keys, attrs, version: str) -> DataFrame:
     """File increments: rows that change a key's hash; the first of a key is an insert; no deletes."""
     rows = rows.withColumn("hash", hashdiff(attrs))
-    before = _line(keys, version)
+    before = _line(keys, version, attrs)
     rows = rows.withColumns({"__hash": F.lag("hash").over(before), "__rn": F.row_number().over(before)})
     rows = rows.where(~F.col("hash").eqNullSafe(F.col("__hash"))).withColumn("cdc_type_code", F.when(F.col("__rn") == 1, "I").otherwise("U"))
-    return _ranked(rows.drop("__hash", "__rn"), keys, version)
+    return _ranked(rows.drop("__hash", "__rn"), keys, version, attrs)
 
 
 def against_state(rows: DataFrame, state: DataFrame, keys, attrs, version: str) -> DataFrame:
@@ -91,7 +93,24 @@ def snapshot_changes(snapshots: DataFrame, keys, attrs, stamp: str, emit_reappea
     kept = rows.withColumn("cdc_type_code", code).where("cdc_type_code is not null").select(*keys, *attrs, stamp, "hash", "cdc_type_code")
     vanished = rows.where(F.col("__next").isNotNull() & (F.coalesce("__own", end) != F.col("__next")))
     deletes = vanished.select(*keys, *attrs, F.col("__next").alias(stamp), "hash", F.lit("D").alias("cdc_type_code"))
-    return _ranked(kept.unionByName(deletes), keys, stamp)
+    return _ranked(kept.unionByName(deletes), keys, stamp, ["cdc_type_code"])
+
+
+def against_snapshots(rows: DataFrame, state: DataFrame, keys, attrs, stamp: str) -> DataFrame:
+    """A batch of ``snapshot_changes`` against the state that earlier batches left.
+
+    Only snapshots newer than the state's newest count; a key's first row counts if it differs from
+    the state, whose keys are updated, not inserted. Live keys that the whole batch lacks are
+    deleted at its first snapshot, once. An empty batch changes nothing.
+    """
+    held = state.select(*keys, hashdiff(attrs).alias("__hash"), F.lit(1).alias("__has"))
+    loaded = F.coalesce(state.agg(F.max(stamp)).scalar(), moment(FIRST).cast(state.schema[stamp].dataType))
+    code, first = F.col("cdc_type_code"), F.col("rn_asc") == 1
+    met = rows.join(held, list(keys), "left").where(F.col(stamp) > loaded).where((code == "D") | ~first | ~F.col("hash").eqNullSafe(F.col("__hash")))
+    met = met.withColumn("cdc_type_code", F.when((code == "I") & F.col("__has").isNotNull(), "U").otherwise(code)).drop("__hash", "__has")
+    gone = state.where("snp_delete_flg = 0").join(rows.select(*keys).distinct(), list(keys), "left_anti").withColumn(stamp, rows.agg(F.min(stamp)).scalar())
+    gone = gone.where(F.col(stamp).isNotNull()).select(*keys, *attrs, stamp).withColumns({"hash": hashdiff(attrs), "cdc_type_code": F.lit("D"), "rn_asc": F.lit(1), "rn_desc": F.lit(1)})
+    return met.unionByName(gone.select(*met.columns))
 
 
 def extract_changes(rows: DataFrame, state: DataFrame, keys, attrs, deletes: bool = True, window: Column | None = None) -> DataFrame:

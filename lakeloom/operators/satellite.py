@@ -35,7 +35,7 @@ def load(target: DataFrame, source: DataFrame, cfg: Satellite, ctx: LoadContext,
     now = date(ctx.clock())
     eff = F.coalesce(F.col(cfg.eff_from).cast("timestamp_ntz"), ctx.clock()) if cfg.eff_from else ctx.clock()
     incoming = source.select(*keys, *attrs, date(eff).alias("valid_from_dttm"), hashdiff(attrs).alias("__hash"))
-    newest = Window.partitionBy(*keys).orderBy(F.desc("valid_from_dttm"))
+    newest = Window.partitionBy(*keys).orderBy(F.desc("valid_from_dttm"), *[F.col(a).asc_nulls_last() for a in attrs])
     ranked = target.withColumn("__rn", F.row_number().over(newest)).where("__rn = 1")
     flag = F.col("delete_flg") if cfg.deletes else F.lit(0)
     latest = ranked.select(*keys, F.col("valid_from_dttm").alias("__t_from"), hashdiff(attrs).alias("__t_hash"), F.coalesce(flag, F.lit(0)).alias("__t_del"), F.lit(1).alias("__t_has"))
@@ -72,4 +72,4 @@ def load(target: DataFrame, source: DataFrame, cfg: Satellite, ctx: LoadContext,
         changes = changes.unionByName(part)
     changes = ctx.stamped(changes)
     changes = changes.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns if c in changes.columns or c in SYSTEM_COLUMNS])
-    return LoadResult(target.unionByName(changes), changes, logged)
+    return LoadResult(target.unionByName(changes), changes, logged, insert_only=True)

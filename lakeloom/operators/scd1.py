@@ -69,7 +69,7 @@ def load(target: DataFrame, source: DataFrame, cfg: Scd1, ctx: LoadContext, name
     if cfg.load_type == "A":
         inserts = kept.join(looked_at.select(*cfg.keys), list(cfg.keys), "left_anti")
         changes = ctx.stamped(inserts).select(*target.columns)
-        return LoadResult(target.unionByName(changes), changes, logged)
+        return LoadResult(target.unionByName(changes), changes, logged, insert_only=True)
     compare = cfg.compare or tuple(source.columns)
     old = looked_at.select(*[F.col(k).alias(f"__t_{k}") for k in cfg.keys], joined_hash(compare).alias("__old")).distinct()
     on = [F.col(k) == F.col(f"__t_{k}") for k in cfg.keys]

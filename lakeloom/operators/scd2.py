@@ -11,7 +11,6 @@ from ..context import FIRST, OPEN_END, LoadContext, LoadResult, exception_rows,
 from ..functions.hashing import hashdiff
 
 
-
 def _tick():
     return F.expr("interval 1 microsecond")
 
@@ -61,7 +60,8 @@ def _load_effective(target: DataFrame, source: DataFrame, cfg: Scd2, ctx: LoadCo
     Same ends and attributes: nothing to do (0). Later start, same attributes: the version is
     extended (3). Later start of a key's first source row, other attributes: the version is cut and
     the row follows (2,1). Other attributes, or no version: the row comes in (1). Else it is a late
-    repeat. Versions that these replace go.
+    repeat. Of the versions that end after a key's first source row, those go that hold an end of a
+    row that comes in, or start after it does.
     """
     keys, attrs = list(cfg.keys), list(cfg.attributes)
     line = Window.partitionBy(*keys).orderBy("valid_from_dttm", *[F.col(a).asc_nulls_last() for a in attrs])
@@ -84,8 +84,11 @@ def _load_effective(target: DataFrame, source: DataFrame, cfg: Scd2, ctx: LoadCo
     # one row touching two versions must come in once
     whole = Window.partitionBy(*keys, "valid_from_dttm", "valid_to_dttm").orderBy(*[F.col(a).asc_nulls_last() for a in attrs])
     new_rows = new_rows.withColumn("__rn", F.row_number().over(whole)).where("__rn = 1").drop("__rn")
-    gone = met.where("__flag <> '0' and __tt > __min").select(*keys, F.col("__tf").alias("valid_from_dttm"), F.col("__tt").alias("valid_to_dttm")).distinct()
-    left = target.join(gone, [*keys, "valid_from_dttm", "valid_to_dttm"], "left_anti")
+    came_in = steps.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.when(old, F.col("__tf")).otherwise(F.col("valid_from_dttm")).alias("__f"),
+                           F.when(F.col("__step") == "2", F.col("valid_from_dttm") - _tick()).otherwise(F.col("valid_to_dttm")).alias("__t"), F.col("__min"))
+    vf, vt = F.col("valid_from_dttm"), F.col("valid_to_dttm")
+    replaced = (vt > F.col("__min")) & (F.col("__f").between(vf, vt) | F.col("__t").between(vf, vt) | ((F.col("__f") < vf) & (F.col("__f") < vt)))
+    left = target.join(came_in, [*[F.col(k) == F.col(f"__k_{k}") for k in keys], replaced], "left_anti")
     twice = came.withColumn("__n", F.count("*").over(Window.partitionBy(*keys, "valid_from_dttm"))).where("__n > 1")
     added = new_rows.unionByName(_seeds(came, target, cfg)) if cfg.seed_1970 else new_rows
     changes = ctx.stamped(added).select(*target.columns)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import calendar
 import math
 from collections.abc import Mapping
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,36 +44,57 @@ def advance_cuts(rows: DataFrame, cuts: Mapping[str, tuple[str | None, str]]) ->
 
 
 def _step(start: date, n: int, unit: str) -> date:
+    """``n`` units on (or back); a day that the month lacks becomes its last one."""
     if unit == "days":
         return start + timedelta(days=n)
     months = start.year * 12 + start.month - 1 + n * (12 if unit == "years" else 1)
-    return date(months // 12, months % 12 + 1, start.day)
+    year, month = months // 12, months % 12 + 1
+    return date(year, month, min(start.day, calendar.monthrange(year, month)[1]))
 
 
-def plan_partitions(table: str, least: date, most: date, granularity: str, existing: tuple[date, date] | None = None) -> list[tuple[str, date, date]]:
-    """Ranges ``(name, from, to)`` to add so that ``least`` to ``most`` is covered.
+def granularity_of(text: str) -> tuple[int, str]:
+    """``3 months``, ``month`` (one of them) or ``2 day`` as a number and ``days``, ``months`` or ``years``."""
+    words = text.split()
+    n, unit = (int(words[0]), words[1]) if len(words) == 2 else (1, text.strip())
+    unit = unit if unit.endswith("s") else f"{unit}s"
+    if unit not in ("days", "months", "years") or n < 1:
+        raise ValueError(f"granularity {text!r}")
+    return n, unit
+
+
+def plan_partitions(table: str, least: date, most: date, granularity: str = "days", existing: tuple[date, date] | None = None) -> list[tuple[str, date, date]]:
+    """Ranges ``(name, from, to)`` to add so that ``least`` to ``most`` is covered, by date.
 
-    Starts are aligned to the month or year; with ``existing`` (first and last bound), ranges go on
-    from its end and back from its start, and none overlaps it. One range more than needed is kept
-    in reserve, as steps are estimated by the shortest month or year.
+    The first ranges start at the month or year of ``least``. With ``existing`` (first and last
+    bound), ranges go on from its end, and whole steps back from its start. Steps are counted by the
+    shortest month or year, and one more is taken in reserve; what overlaps is left out.
     """
-    n, unit = int(granularity.split()[0]), granularity.split()[1]
-    if unit not in ("days", "months", "years") or n < 1:
-        raise ValueError(f"granularity {granularity!r}")
-    align = lambda d: d.replace(day=1) if unit == "months" else d.replace(month=1, day=1) if unit == "years" else d
-    per = {"days": 1, "months": 28, "years": 365}[unit] * n
-    start = existing[1] if existing else align(least)
+    n, unit = granularity_of(granularity)
+    steps = lambda a, b: math.ceil((b - a).days / {"days": 1, "months": 28, "years": 365}[unit] / n)
+    taken = [existing] if existing else []
     out = []
-    if existing is None or most >= start:
-        for k in range(math.ceil((most - start).days / per) + 1):
-            out.append((_step(start, k * n, unit), _step(start, (k + 1) * n, unit)))
-    if existing and least < existing[0]:
-        begin, k, back = align(least), 0, []
-        while _step(begin, k * n, unit) < existing[0]:
-            back.append((_step(begin, k * n, unit), min(_step(begin, (k + 1) * n, unit), existing[0])))
-            k += 1
-        out = back + out
-    return [(f"p_{table}_{a:%Y%m%d}", a, b) for a, b in out]
+
+    def split(start: date, end: date) -> None:
+        for k in range(steps(start, end) + 1):
+            a, b = _step(start, k * n, unit), _step(start, (k + 1) * n, unit)
+            if not any(to > a and of < b for of, to in taken):
+                taken.append((a, b))
+                out.append((f"p_{table}_{a:%Y%m%d}", a, b))
+
+    if existing is None:
+        split(least.replace(day=1) if unit == "months" else least.replace(month=1, day=1) if unit == "years" else least, most)
+    else:
+        if most >= existing[1]:
+            split(existing[1], most)
+        if least < existing[0]:
+            split(_step(existing[0], -steps(least, existing[0]) * n, unit), existing[0])
+    return sorted(out, key=lambda r: r[1])
+
+
+def span(rows: DataFrame, column: str) -> tuple[date, date] | None:
+    """The least and greatest date of a column, None if it has none; one aggregate row."""
+    least, most = rows.agg(F.min(F.col(column).cast("date")), F.max(F.col(column).cast("date"))).first()
+    return None if least is None else (least, most)
 
 
 def registered_elements(log: DataFrame, new_rows: DataFrame | None, latest: DataFrame | None, dictionary: str, element: str, source_element: str, description: str, system: str, eff_from: str, include_obsolete: bool = True) -> DataFrame:
@@ -119,6 +141,3 @@ def merge_snapshot(target: DataFrame, changes: DataFrame) -> DataFrame:
     closed = closed.withColumn("dbt_valid_to", F.when(F.col("dbt_valid_to").isNull(), F.col("__to")).otherwise(F.col("dbt_valid_to")))
     return closed.select(*target.columns).unionByName(changes.where("dbt_change_type = 'insert'").select(*target.columns))
 
-
-def as_date(moment: datetime | date) -> date:
-    return moment.date() if isinstance(moment, datetime) else moment

@@ -4,53 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import LoadContext, LoadResult
-from ..functions.schemas import evolve, fitted
+from ..functions.schemas import evolve
 from ..operators import ods
 from ..sources.store import TableStore
+from .models import OdsModel
 
 Loader = Callable[[DataFrame, DataFrame], LoadResult]
 
 
-def run_incremental(store: TableStore, name: str, source: DataFrame, load: Loader, empty: DataFrame) -> int:
-    """One table: its next state, and its exceptions if the load has any; ``empty`` gives the first schema."""
+def run_incremental(store: TableStore, name: str, source: DataFrame, load: Loader, empty: DataFrame, partition_by: list[str] | None = None) -> int:
+    """One table: its next state, and its exceptions if the load has any; ``empty`` gives the first schema.
+
+    An insert-only load appends its changes, and exceptions are appended to their log.
+    """
     state = store.read(name)
     result = load(evolve(state, empty.schema) if state is not None else empty, source)
-    states = {name: result.target}
+    by = {name: partition_by} if partition_by else None
+    fits = state is not None and all(dict(result.changes.dtypes).get(c, t) == t for c, t in state.dtypes)  # no column widened
+    appends = {name: result.changes} if result.insert_only and fits else {}
+    states = {} if appends else {name: result.target}
     if result.exceptions is not None:
-        log = result.exceptions.select("loader_nm", "target_nm", "exception_type_code", "exception_json", "dataflow_dttm", "dataflow_id")
-        old = store.read("load_exception")
-        states["load_exception"] = log if old is None else old.unionByName(log)
-    return store.commit(states)
+        appends["load_exception"] = result.exceptions.select("loader_nm", "target_nm", "exception_type_code", "exception_json", "dataflow_dttm", "dataflow_id")
+    return store.commit(states, by, appends)
 
 
-def run_ods(store: TableStore, name: str, rows: DataFrame, keys: list[str], attrs: list[str], version: str, ctx: LoadContext, strategy: str = "es", status: str = "ce_type", hook: Callable[[DataFrame], DataFrame] | None = None) -> int:
-    """Change log and current state of one table, committed together with the watermark.
+def run_ods(store: TableStore, name: str, rows: DataFrame, keys: list[str], attrs: list[str], version: str | None, ctx: LoadContext, strategy: str = "es", status: str = "ce_type", hook: Callable[[DataFrame], DataFrame] | None = None,
+            load_type: str = "U", cut: str | None = None, window: Column | None = None, full_history: bool = False) -> int:
+    """Change log (appended) and current state of one table, committed together with the watermark.
 
     ``strategy``: es (events), s3_incr (file increments), message_lib (dated snapshots), jdbc_snap
     (extracts) or custom (``hook`` gives rows with cdc_type_code, rn_asc, rn_desc and hash).
+
+    Extracts: ``window`` limits both sides to the increment's range of the column ``cut``, unless
+    ``full_history`` asks for a comparison with the whole state. Keys that the extract lacks are
+    deleted if ``load_type`` is R or U and the extract tells: not for an increment that is compared
+    with the full history. The watermark of extracts is the greatest logged value of ``cut``.
     """
-    spark = rows.sparkSession
-    log, state = store.read(f"{name}_cdc"), store.read(f"{name}_snp")
+    model = OdsModel(strategy, tuple(keys), version, status, load_type, cut, hook)
+    model.validate(rows.columns)
+    state = store.read(f"{name}_snp")
     if state is None:
-        versions = [] if strategy == "jdbc_snap" else [version]
+        versions = [version] if version and strategy != "jdbc_snap" else []
         state = rows.limit(0).select(*keys, *attrs, *versions).withColumn("snp_delete_flg", F.lit(0))
-    attrs_held = [a for a in attrs if a in rows.columns]
-    rows = rows.withColumns({a: F.lit(None).cast(state.schema[a].dataType) for a in attrs if a not in attrs_held})
+    rows = rows.withColumns({a: F.lit(None).cast(state.schema[a].dataType) for a in attrs if a not in rows.columns})
     if strategy == "jdbc_snap":
-        changes = ods.extract_changes(rows, state, keys, attrs)
+        changes = ods.extract_changes(rows, state, keys, attrs, deletes=load_type in ("R", "U") and not (window is not None and full_history), window=None if full_history else window)
         entries = ods.change_log(changes, keys, attrs, ctx)
     else:
         made = {"es": lambda: ods.dedup_events(rows, keys, attrs, version, status), "s3_incr": lambda: ods.increment_rows(rows, keys, attrs, version), "message_lib": lambda: ods.snapshot_changes(rows, keys, attrs, version), "custom": lambda: hook(rows)}[strategy]()
-        changes = ods.against_state(made, state, keys, attrs, version)
-        entries = ods.change_log(changes, keys, attrs, ctx, version) if dict(rows.dtypes)[version].startswith(("timestamp", "date")) else ods.change_log(changes.withColumn("__at", ctx.clock()), keys, attrs, ctx, version, "__at").drop("__at")
-    states = {f"{name}_snp": ods.merge_state(state, changes, keys), f"{name}_cdc": entries if log is None else log.unionByName(fitted(entries, log.schema))}
-    if strategy != "jdbc_snap":
+        against = ods.against_snapshots if strategy == "message_lib" else ods.against_state
+        changes = against(made, state, keys, attrs, version)
+        dated = dict(rows.dtypes)[version].startswith(("timestamp", "date"))
+        entries = ods.change_log(changes, keys, attrs, ctx, version) if dated else ods.change_log(changes.withColumn("__at", ctx.clock()), keys, attrs, ctx, version, "__at").drop("__at")
+    states = {f"{name}_snp": ods.merge_state(state, changes, keys)}
+    column, marked = (cut, entries) if strategy == "jdbc_snap" else (version, rows)
+    if column:
         old = store.read("cut_param")
-        mark = rows.agg(F.max(version).cast("string").alias("cut_value")).select(F.lit(name).alias("table_nm"), F.lit(version).alias("column_nm"), "cut_value")
-        states["cut_param"] = mark if old is None else old.where(F.col("table_nm") != name).unionByName(mark)
-    spark.catalog.clearCache()
-    return store.commit(states)
+        mark = marked.agg(F.max(column).cast("string").alias("cut_value")).where("cut_value is not null").select(F.lit(name).alias("table_nm"), F.lit(column).alias("column_nm"), "cut_value")
+        if old is not None:
+            same = (F.col("table_nm") == name) & (F.col("column_nm") == column)
+            kept = old.where(~same).unionByName(mark)
+            mark = kept.unionByName(old.where(same).join(mark.select("table_nm"), "table_nm", "left_anti").select(*old.columns))  # no new mark: the old one stays
+        states["cut_param"] = mark
+    return store.commit(states, appends={f"{name}_cdc": entries})
