@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -723,38 +725,45 @@ def masked_view(spark, sf):
     return catalog.masked(_read(spark, sf, "customer"), ["C_NAME", "c_acctbal"])
 
 
-def _database(spark, sf) -> str:
-    """A database of its own with a table and views of it."""
-    name = f"lakeloom_{abs(hash(sf)) % 10**8}"
-    spark.sql(f"create database if not exists {name}")
-    spark.sql(f"create table if not exists {name}.nation using parquet location '{sf}/nation.parquet'")
-    catalog.create_view(spark, f"{name}.names", f"select n_nationkey, n_name from {name}.nation")
-    catalog.create_view(spark, f"{name}.named", f"select a.n_name from {name}.names a join {name}.nation b on a.n_nationkey = b.n_nationkey")
-    return name
+@contextmanager
+def _database(spark, sf):
+    """A database with a table and views of it, for as long as it is looked at; the table's files are the input's."""
+    name = f"lakeloom_{uuid.uuid4().hex}"
+    spark.sql(f"create database {name}")
+    try:
+        spark.sql(f"create table {name}.nation using parquet location '{sf}/nation.parquet'")
+        catalog.create_view(spark, f"{name}.names", f"select n_nationkey, n_name from {name}.nation")
+        catalog.create_view(spark, f"{name}.named", f"select a.n_name from {name}.names a join {name}.nation b on a.n_nationkey = b.n_nationkey")
+        yield name
+    finally:
+        spark.sql(f"drop database {name} cascade")
 
 
 @_query("""select * from (values ('named', 'VIEW', 'n_name', 1, 'string'), ('names', 'VIEW', 'n_name', 2, 'string'), ('names', 'VIEW', 'n_nationkey', 1, 'int'), ('nation', 'BASE TABLE', 'n_name', 2, 'string'),
 ('nation', 'BASE TABLE', 'n_nationkey', 1, 'int'), ('nation', 'BASE TABLE', 'n_regionkey', 3, 'int')) t(table_name, table_type, column_name, column_index, column_type)""")
 def catalog_columns(spark, sf):
-    return catalog.columns(spark, _database(spark, sf)).drop("table_schema")
+    with _database(spark, sf) as name:
+        return catalog.columns(spark, name).drop("table_schema")
 
 
 @_query("select * from (values ('nation', 'names'), ('names', 'named'), ('nation', 'named')) t(referenced_name, dependent_name)")
 def view_lineage(spark, sf):
-    return catalog.lineage(spark, _database(spark, sf)).select("referenced_name", "dependent_name")
+    with _database(spark, sf) as name:
+        return catalog.lineage(spark, name).select("referenced_name", "dependent_name")
 
 
 @_query("select * from (values ('named', 'VIEW'), ('names', 'VIEW')) t(table_name, table_type)")
 def catalog_like(spark, sf):
-    return catalog.tables_like(spark, _database(spark, sf), like="na%", ilike="%ME%", regex="e[ds]$").drop("table_schema")
+    with _database(spark, sf) as name:
+        return catalog.tables_like(spark, name, like="na%", ilike="%ME%", regex="e[ds]$").drop("table_schema")
 
 
 @_query("""select unnest(range(1, 16)) as line_nr, unnest(['version: 2', '', 'sources:', '  - name: db', '    tables:', '      - name: named', '        columns:', '          - name: n_name', '            data_type: string', '      - name: names', '        columns:',
 '          - name: n_nationkey', '            data_type: int', '          - name: n_name', '            data_type: string']) as line""")
 def source_yaml(spark, sf):
     """The description of the database's views, line by line."""
-    name = _database(spark, sf)
-    lines = store.sources_yaml(spark, name).splitlines()
+    with _database(spark, sf) as name:
+        lines = store.sources_yaml(spark, name).splitlines()
     lines = lines[: lines.index("      - name: nation")]
     return spark.createDataFrame([(k, line.replace(name, "db")) for k, line in enumerate(lines, 1)], "line_nr long, line string")
 
