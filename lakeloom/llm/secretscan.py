@@ -2,10 +2,11 @@
 
 A layer is a string with, for every code point, the span of the original text it came from. The
 text itself is the first layer. Each layer is scanned for secrets, then unwrapped: percent
-escapes and ``\\u`` / ``\\x`` escapes in place, base64 tokens (plain, URL-safe or in lines, from each
-of their first four characters) and gzip, zlib, bzip2 and xz data anywhere inside them, with all
-their members. Bytes that are not UTF-8 are read as replacement characters, so a layer is scanned
-whatever it holds. Unpacked data are scanned in blocks, cut where no secret and no token can lie.
+escapes and ``\\u`` / ``\\x`` / ``%u`` escapes in place, base64 tokens (plain, URL-safe or in lines,
+from each of their first four characters) and gzip, zlib, bzip2 and xz data anywhere inside them,
+with all their members. Bytes that are not UTF-8 are read as replacement characters, and bytes with
+as many zeros as UTF-16 has in Latin text are read as that, too, so a layer is scanned whatever it
+holds. Unpacked data are scanned in blocks, cut where no secret and no token can lie.
 New layers join the worklist until none is left; a layer met before at the same place is not
 taken again, so cycles end. No shuffle, no state beyond one text and its open blocks.
 """
@@ -20,6 +21,7 @@ import itertools
 import lzma
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,8 +43,8 @@ BLOCK = 1 << 20
 
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
-_ESCAPE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
+_ESCAPE = re.compile(r"(?:[\\%]u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
+_ESCAPE_ONE = re.compile(r"[\\%]u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40,}+\r?\n)+[A-Za-z0-9+/]{4,}")
 _PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00")
 # bytes that no secret, escape or token holds; the second kind may lie inside a character
@@ -60,9 +62,9 @@ def scan(text: str, runs: list[re.Match] | None = None) -> list[tuple[int, int,
     return sorted(found)
 
 
-def _unescape(text: str, pattern: re.Pattern, decode) -> tuple[str, list[int], list[int]] | None:
+def _unescape(text: str, pattern: re.Pattern, decode) -> tuple[str, array, array] | None:
     """The text with the runs of ``pattern`` decoded, and each code point's span before."""
-    out, starts, ends, last, changed = [], [], [], 0, False
+    out, starts, ends, last, changed = [], array("q"), array("q"), 0, False
 
     def copy(a: int, b: int) -> None:
         out.append(text[a:b])
@@ -220,6 +222,32 @@ def _text(raw: bytes) -> tuple[str, bool]:
     return text, len(text) >= 8 and all(c.isprintable() or c in "\n\r\t" for c in text)
 
 
+def _wide(raw: bytes) -> list[str]:
+    """The bytes as UTF-16 of either order, if a third of the high bytes are zero, as in Latin text."""
+    half = len(raw) // 2
+    return [raw[: 2 * half].decode(code, errors="replace") for code, high in (("utf-16-le", raw[1::2]), ("utf-16-be", raw[0 : 2 * half : 2])) if half >= 8 and 3 * high.count(0) >= half]
+
+
+class _Same:
+    """Any number of equal places."""
+
+    def __init__(self, place: int):
+        self.place = place
+
+    def __getitem__(self, k: int) -> int:
+        return self.place
+
+
+class _Quads:
+    """Places of the bytes of a base64 token: each begins and ends within its four characters."""
+
+    def __init__(self, places, first: int, last: int, behind: int):
+        self.places, self.first, self.last, self.behind = places, first, last, behind
+
+    def __getitem__(self, k: int) -> int:
+        return self.places[min(self.last, self.first + 4 * (k // 3) + k % 3 + self.behind)]
+
+
 def _base64(token: str, skip: int = 0) -> bytes:
     """The bytes of the token from its character ``skip`` on; a last character that makes no byte goes."""
     body = token.translate(_URL_SAFE).replace("\r", "").replace("\n", "").rstrip("=")[skip:]
@@ -242,7 +270,7 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     spans, layers, unopened = set(base), 0, 0
     seen: set[tuple[bytes, int, int]] = set()
     # iterators of layers; only the last one is read, so that one block of unpacked data is held at a time
-    work: list[Iterator[tuple[str, list[int] | range, list[int] | range]]] = [iter([(text, range(len(text)), range(1, len(text) + 1))])]
+    work: list[Iterator[tuple]] = [iter([(text, range(len(text)), range(1, len(text) + 1))])]
 
     def fresh(new: str, lo: int, hi: int) -> bool:
         key = (_digest(new.encode(errors="surrogatepass")), lo, hi)
@@ -258,7 +286,7 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
         if not sure and not ("%" in new or "\\" in new or _RUN.search(new) or scan(new)):
             return  # nothing can come of it
         starts, ends = places()
-        if new and fresh(new, starts[0], ends[-1]):
+        if new and fresh(new, starts[0], ends[len(new) - 1]):
             layers += taken(new, starts, ends) or sure
             work.append(iter([(new, starts, ends)]))
 
@@ -270,9 +298,13 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             sure &= clean
             if new and fresh(new, lo, hi):
                 any_fresh = True
-                starts, ends = [lo] * len(new), [hi] * len(new)
-                hit |= taken(new, starts, ends)
-                yield new, starts, ends
+                hit |= taken(new, _Same(lo), _Same(hi))
+                yield new, _Same(lo), _Same(hi)
+            for wide in _wide(block):
+                if fresh(wide, lo, hi):
+                    any_fresh = True
+                    hit |= taken(wide, _Same(lo), _Same(hi))
+                    yield wide, _Same(lo), _Same(hi)
         layers += any_fresh and (sure or hit)
 
     def opened(raw: bytes, sure: bool, lo: int, hi: int, exact) -> None:
@@ -285,7 +317,9 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
                 packed |= at == 0
                 work.append(unpacked(source, lo, hi))
         inner, clean = _text(raw)
-        push(inner, sure and clean and not packed, exact if exact and len(inner) == len(raw) else lambda: ([lo] * len(inner), [hi] * len(inner)))
+        push(inner, sure and clean and not packed, exact if exact and len(inner) == len(raw) else lambda: (_Same(lo), _Same(hi)))
+        for wide in _wide(raw):
+            push(wide, False, lambda: (_Same(lo), _Same(hi)))
 
     while work:
         item = next(work[-1], None)
@@ -293,10 +327,10 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             work.pop()
             continue
         layer, starts, ends = item
-        for mark, pattern, decode in (("%", _PERCENT, _percent), ("%", _PERCENT, _percent_any), ("\\", _ESCAPE, _escape)):
+        for mark, pattern, decode in (("%", _PERCENT, _percent), ("%", _PERCENT, _percent_any), ("\\", _ESCAPE, _escape), ("%u", _ESCAPE, _escape)):
             if mark in layer and (got := _unescape(layer, pattern, decode)) and got[0]:
                 new, a, b = got
-                push(new, decode is not _percent_any, lambda: ([starts[k] for k in a], [ends[k - 1] for k in b]))  # noqa: B023
+                push(new, decode is not _percent_any, lambda: (array("q", (starts[k] for k in a)), array("q", (ends[k - 1] for k in b))))  # noqa: B023
         here = runs if layer is text else list(_RUN.finditer(layer))
         tokens = [(m.start(), m.end()) for m in here]
         if any(b - a >= 40 for a, b in tokens) and "\n" in layer:
@@ -309,7 +343,7 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
                 if len(raw) < 8:
                     continue
                 first = a + skip if plain else a
-                exact = lambda: ([starts[first + 4 * (k // 3) + k % 3] for k in range(len(raw))], [ends[min(b - 1, first + 4 * (k // 3) + k % 3 + 1)] for k in range(len(raw))])  # noqa: B023, E731
+                exact = lambda: (_Quads(starts, first, b - 1, 0), _Quads(ends, first, b - 1, 1))  # noqa: B023, E731
                 opened(raw, skip == 0, starts[first], ends[b - 1], exact if plain else None)
     return base, sorted(spans), layers, unopened
 
