@@ -8,13 +8,15 @@ expands its most promising cells, which gives it a k-th score; every other cell
 not reach that score is left out, all others are searched. Pivots come from a bounded sample,
 every vector is indexed, and the result is exact (recall 1).
 
-Queries and cells meet in blocks (at most ``QUERY_BLOCK`` by ``CELL_BLOCK`` vectors) over an
-equi-join on the cell. Equal vectors are kept up to their k + 1 smallest ids, as no other can
+Queries and cells meet in blocks (about ``QUERY_BLOCK`` by ``CELL_BLOCK`` vectors) over an
+equi-join on the cell and its block, so a large cell is searched by many tasks. Pivots grow with
+the square root of the rows, up to ``MOST_PIVOTS``. Equal vectors are kept up to their k + 1 smallest ids, as no other can
 be among k results; that limit is applied before the shuffle, so a hot vector costs nothing.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 SAMPLE_ROWS = 2048
-PIVOTS, RINGS = 32, 12
+PIVOTS, MOST_PIVOTS, RINGS = 32, 512, 12
 CELL_BLOCK, QUERY_BLOCK = 4096, 512
 FIRST_ROWS = 512
 SCALE = 256
@@ -42,28 +44,29 @@ def _vectors(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     rows = np.flatnonzero(~null & (np.diff(offsets) > 0) & (bad[offsets[1:]] == bad[offsets[:-1]]))
     with np.errstate(invalid="ignore", over="ignore"):
         whole = np.floor(values * SCALE)
-    if len(rows) and (np.abs(np.where(np.isfinite(values), whole, 0)) >= 2.0**62).any():
+        large = np.concatenate([[0], np.cumsum(np.abs(whole) >= 2.0**62)])
+    if (large[offsets[rows + 1]] != large[offsets[rows]]).any():
         raise OverflowError("a component times 256 does not fit a long")
-    return rows, np.diff(offsets)[rows], offsets, np.where(np.isfinite(whole), whole, 0).astype(np.int64)
+    return rows, np.diff(offsets)[rows], offsets, np.where(np.abs(whole) < 2.0**62, whole, 0).astype(np.int64)
 
 
 def _quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, length, offsets, whole = _vectors(batch)
-        take = np.concatenate([np.arange(offsets[r], offsets[r + 1]) for r in rows]) if len(rows) else np.empty(0, np.int64)
+        take = np.arange(int(length.sum())) + np.repeat(offsets[rows] - (np.cumsum(length) - length), length)
         at = pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32))
         pick = pa.array(rows)
         yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pick), pa.ListArray.from_arrays(at, pa.array(whole[take])), batch.column("asks").take(pick)], names=["vec_id", "v", "asks"])
 
 
-def choose_pivots(sample: list[list[int]]) -> dict[int, np.ndarray]:
-    """Per length, up to ``PIVOTS`` sample vectors by farthest-first traversal."""
+def choose_pivots(sample: list[list[int]], most: int) -> dict[int, np.ndarray]:
+    """Per length, up to ``most`` sample vectors by farthest-first traversal."""
     out = {}
     for dim in {len(v) for v in sample}:
         have = np.unique(np.array([v for v in sample if len(v) == dim], np.float64).reshape(-1, dim), axis=0)
         picked = [0]
         far = np.linalg.norm(have - have[0], axis=1)
-        while len(picked) < min(PIVOTS, len(have)) and far.max() > 0:
+        while len(picked) < min(most, len(have)) and far.max() > 0:
             picked.append(int(far.argmax()))
             far = np.minimum(far, np.linalg.norm(have - have[picked[-1]], axis=1))
         out[dim] = have[picked]
@@ -147,7 +150,7 @@ def _pack(names: tuple[str, str, str]):
     def run(key, table):
         flat, ids = table.column("v").combine_chunks(), table.column(names[1]).combine_chunks()
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        return pa.table({"cell": [key[0].as_py()], names[0]: one(ids), names[2]: one(flat.flatten())})
+        return pa.table({"cell": [key[0].as_py()], "block": [key[1].as_py()], names[0]: one(ids), names[2]: one(flat.flatten())})
 
     return run
 
@@ -190,7 +193,8 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
     ``vectors(vec_id, embedding, ...)``; a component x counts as floor(256 x), the score is the
     integer inner product, ties go to the smaller id, and a query is no result of its own id.
     Rows with a null id, a null or empty vector, or a null or non-finite component take no part; vectors of
-    another length than the query's are not compared with it; repeated rows count once; a query
+    another length than the query's are not compared with it; a component of a row that takes part
+    which does not fit a long after scaling, or a score that does not, is an OverflowError; repeated rows count once; a query
     with fewer than ``k`` others gets them all, one with none no row; further columns are ignored.
     """
     spark = vectors.sparkSession
@@ -198,9 +202,12 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
     narrow = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce(asks, F.lit(False)).alias("asks"))
     whole = scratch.save(narrow.mapInArrow(_quantise, "vec_id long, v array<long>, asks boolean").distinct(), "vectors")
     queries = whole.where("asks").select(F.col("vec_id").alias("query_id"), "v")
-    n_queries = queries.count()
-    sample = [r["v"] for r in whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("v").collect()]
-    pivots = choose_pivots(sample)
+    n_rows, n_queries = whole.agg(F.count("*"), F.count_if("asks")).first()
+    # by a hash first, so that about twice as many rows as are wanted reach the limit, however many there are
+    thin = whole.where(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(max(1, n_rows // (2 * SAMPLE_ROWS)))) == 0)
+    sample = [r["v"] for r in thin.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("v").collect()]
+    most = min(MOST_PIVOTS, max(PIVOTS, math.isqrt(n_rows) // 8))
+    pivots = choose_pivots(sample, most)
     near = np.concatenate([_distances(np.array([v for v in sample if len(v) == d], np.float64).reshape(-1, d), p).min(1) for d, p in pivots.items()]) if pivots else np.zeros(1)
     held = spark.sparkContext.broadcast(pivots)
     edges = spark.sparkContext.broadcast(np.unique(np.quantile(near, np.linspace(0, 1, RINGS + 1)[1:-1])))
@@ -208,21 +215,24 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
     few = Window.partitionBy("v").orderBy("vec_id")
     kept = whole.select("vec_id", "v").withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= k + 1).select("vec_id", "v")
     keyed = kept.mapInArrow(_assign(held, edges), "vec_id long, v array<long>, dim int, pivot int, ring int, near double, norm double")
-    keyed = scratch.save(keyed.withColumn("cell", F.col("dim").cast("long") * (PIVOTS * (RINGS + 1)) + F.col("pivot") * (RINGS + 1) + F.col("ring")), "keyed")
+    keyed = scratch.save(keyed.withColumn("cell", F.col("dim").cast("long") * (MOST_PIVOTS * (RINGS + 1)) + F.col("pivot") * (RINGS + 1) + F.col("ring")), "keyed")
     extent = keyed.groupBy("cell", "dim", "pivot").agg(F.count("*").alias("n"), F.min("near").alias("lo"), F.max("near").alias("hi"), F.max("norm").alias("norm"))
     extent = scratch.save(extent, "extent")
-    # at most PIVOTS * RINGS rows for each length of vector
+    # at most MOST_PIVOTS * RINGS rows for each length of vector
     cells = np.array([tuple(r) for r in extent.select("cell", "dim", "pivot", "n", "lo", "hi", "norm").collect()], dtype=[("cell", "i8"), ("dim", "i8"), ("pivot", "i8"), ("n", "i8"), ("lo", "f8"), ("hi", "f8"), ("norm", "f8")])
     summary = spark.sparkContext.broadcast(cells)
-    blocks = keyed.join(extent.select(F.col("cell").alias("of"), F.ceil(F.col("n") / CELL_BLOCK).alias("blocks")), F.col("cell") == F.col("of"))
+    sized = F.broadcast(extent.select(F.col("cell").alias("of"), F.ceil(F.col("n") / CELL_BLOCK).alias("blocks")))
+    blocks = keyed.join(sized, F.col("cell") == F.col("of"))
     blocks = blocks.select("cell", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"), "vec_id", "v")
-    index = scratch.save(blocks.groupBy("cell", "block").applyInArrow(_pack(("ids", "vec_id", "vflat")), "cell long, ids array<long>, vflat array<long>"), "index")
+    index = scratch.save(blocks.groupBy("cell", "block").applyInArrow(_pack(("ids", "vec_id", "vflat")), "cell long, block long, ids array<long>, vflat array<long>"), "index")
 
     n_blocks = max(1, -(-n_queries // QUERY_BLOCK))
 
     def searched(wanted: DataFrame) -> DataFrame:
-        packed = wanted.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))).groupBy("cell", "block").applyInArrow(_pack(("queries", "query_id", "qflat")), "cell long, queries array<long>, qflat array<long>")
-        hits = packed.join(index, "cell").select("queries", "qflat", "ids", "vflat").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+        packed = wanted.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("long")).groupBy("cell", "block").applyInArrow(_pack(("queries", "query_id", "qflat")), "cell long, block long, queries array<long>, qflat array<long>")
+        # each block of queries goes to every block of its cell
+        packed = packed.join(sized, F.col("cell") == F.col("of")).select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "queries", "qflat")
+        hits = packed.join(index, ["cell", "block"]).select("queries", "qflat", "ids", "vflat").mapInArrow(_search(k), "query_id long, vec_id long, score long")
         return best(hits)
 
     def best(hits: DataFrame) -> DataFrame:
