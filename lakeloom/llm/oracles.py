@@ -57,7 +57,7 @@ g as (select "of", k, sum(case when k = 0 then -rate else ln(rate) - ln(k) end)
 c as (select "of", sum(exp(lg)) over (partition by "of" order by k) as p from g),
 u as (select *, row_number() over () as r, (cast('0x' || substr(md5('17:n:' || id), 1, 13) as bigint) + 0.5) / 4503599627370496.0 as u from d),
 m as (select r, count(*) as n from u join c on u."of" = c."of" and c.p <= u.u group by r),
-x as (select u.*, cast(unnest(range(0, n)) as integer) as copy from u join m using (r))
+x as (select u.*, unnest(range(0, n)) as copy from u join m using (r))
 select * exclude ("of", id, u, r), cast('0x' || substr(md5('17:o:' || id || ':' || copy), 1, 15) as bigint) as mix_key from x"""
 
 NEAR_DUPLICATES = r"""with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
