@@ -5,8 +5,9 @@ or, for an entry that ends in ``/``, everything below. A URL therefore equals an
 its expansions (host suffixes by path prefixes). All expansions of a URL are probed in the
 filter; only URLs with a possible hit are exploded and joined exactly with the list, which
 removes the filter's false positives. The filter has 512-bit blocks with one bit in each of
-eight words, and a fixed greatest size: a longer list raises the rate of false positives, not
-the filter, and the result stays exact.
+eight words, 16 bits for an entry however long the list. It is broadcast up to ``MAX_BLOCKS``
+blocks; a larger one stays a table, dealt by the block's number, which the expansions meet by an
+equi-join on their block.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: Blocks of 64 bytes: the filter that is broadcast has at most 8 MB, whatever the list.
+#: Blocks of 64 bytes: a filter that is broadcast has at most 8 MB; a larger one is joined.
 MAX_BLOCKS = 1 << 17
 BITS_PER_ENTRY = 16
 
@@ -70,20 +71,25 @@ def canonical(entry: Column) -> Column:
     return F.concat(host, F.when(path == "", "/").otherwise(path))
 
 
+def _hashes(form: Column) -> tuple[Column, Column]:
+    return F.xxhash64(form), F.xxhash64(form, F.lit(1))
+
+
+def filter_blocks(keys: DataFrame, column: str, blocks: int) -> DataFrame:
+    """The filter as a table ``(at, w0 .. w7)``: its blocks that have a bit set."""
+    h1, h2 = _hashes(F.col(column))
+    word = lambda w: F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h2, {6 * w}) & 63 as int))")).alias(f"w{w}")
+    return keys.select(h1.alias("h1"), h2.alias("h2")).withColumn("at", F.expr(f"h1 & {blocks - 1}")).groupBy("at").agg(*[word(w) for w in range(8)])
+
+
 class BlockedBloom:
-    """Built in Spark by ``bit_or`` per block; held as at most ``MAX_BLOCKS`` blocks of eight words."""
-
-    def __init__(self, keys: DataFrame, column: str):
-        n = keys.count()
-        want = max(1, -(-n * BITS_PER_ENTRY // 512))
-        self.blocks = min(MAX_BLOCKS, 1 << (want - 1).bit_length())
-        h1, h2 = F.xxhash64(column), F.xxhash64(column, F.lit(1))
-        word = lambda w: F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h2, {6 * w}) & 63 as int))")).alias(f"w{w}")
-        rows = (keys.select(h1.alias("h1"), h2.alias("h2")).withColumn("block", F.expr(f"h1 & {self.blocks - 1}"))
-                .groupBy("block").agg(*[word(w) for w in range(8)]).collect())  # at most ``blocks`` rows
-        self.words = np.zeros((self.blocks, 8), np.int64)
-        for row in rows:
-            self.words[row["block"]] = [row[f"w{w}"] for w in range(8)]
+    """A filter in memory: ``blocks`` blocks of eight words."""
+
+    def __init__(self, table: DataFrame, blocks: int):
+        self.blocks = blocks
+        self.words = np.zeros((blocks, 8), np.int64)
+        for row in table.collect():  # at most ``blocks`` rows
+            self.words[row["at"]] = [row[f"w{w}"] for w in range(8)]
 
     def probe(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         block = self.words.view(np.uint64)[h1 & (self.blocks - 1)]
@@ -94,6 +100,25 @@ class BlockedBloom:
         return hit
 
 
+def possible_hits(spread: DataFrame, entries: DataFrame, scratch: Scratch, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """``(__key, form)`` of rows ``(__key, forms)`` and forms that pass the filter of ``entries(entry)``."""
+    spark = spread.sparkSession
+    want = max(1, -(-entries.count() * BITS_PER_ENTRY // 512))
+    blocks = 1 << (want - 1).bit_length()
+    table = filter_blocks(entries, "entry", blocks)
+    if blocks <= max_blocks:
+        bloom = spark.sparkContext.broadcast(BlockedBloom(table, blocks))
+        hashed = [F.transform("forms", lambda f: _hashes(f)[0]).alias("h1"), F.transform("forms", lambda f: _hashes(f)[1]).alias("h2")]
+        return spread.select("__key", "forms", *hashed).mapInArrow(_prober(bloom), "__key string, form string")
+    table = scratch.save(table, "filter")
+    h1, h2 = _hashes(F.col("form"))
+    forms = spread.select("__key", F.explode("forms").alias("form")).withColumns({"h2": h2, "of": h1.bitwiseAND(F.lit(blocks - 1))})
+    met = forms.join(table, F.col("of") == F.col("at"))
+    for w in range(8):
+        met = met.where(F.expr(f"shiftrightunsigned(w{w}, cast(shiftrightunsigned(h2, {6 * w}) & 63 as int)) & 1 = 1"))
+    return met.select("__key", "form")
+
+
 def _prober(bloom):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = bloom.value
@@ -107,7 +132,7 @@ def _prober(bloom):
     return run
 
 
-def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """``page_id, host, path, rule, verdict, listed`` for every row of ``pages(page_id, url, ...)``.
 
     ``listed(entry)`` holds the blocked URLs in any spelling; its nulls and repeats do not count.
@@ -115,21 +140,22 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     ``allow`` if none does; ``listed`` names the longest such entry. A null URL, or one without
     ``://``, has an empty host and path, no rule and the verdict ``allow``; repeated rows and null
     ids are judged each; further columns are ignored; an empty table or list is no special case.
+    ``max_blocks``: beyond so many blocks the filter is joined instead of broadcast.
     """
     spark = pages.sparkSession
     scratch = Scratch(spark, "urlfilter")
     entries = scratch.save(listed.where("entry is not null").select(canonical(F.col("entry")).alias("entry")).where("entry <> '/'").distinct(), "entries")
-    bloom = spark.sparkContext.broadcast(BlockedBloom(entries, "entry"))
     judged = pages.select("page_id", F.col("url").cast("string").alias("__url"))
     host, path = host_and_path(F.col("__url"))
     judged = judged.select("page_id", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     judged = judged.withColumns({"rule": _by_rule(rules, F.col("host"), F.col("path"), 0), "by_rule": _by_rule(rules, F.col("host"), F.col("path"), 1),
                                  "__key": F.concat("host", "path")})
     spread = judged.where("host <> ''").select("__key", expansions(F.col("host"), F.col("path")).alias("forms"))
-    spread = spread.select("__key", "forms", F.transform("forms", lambda f: F.xxhash64(f)).alias("h1"), F.transform("forms", lambda f: F.xxhash64(f, F.lit(1))).alias("h2"))
-    possible = spread.mapInArrow(_prober(bloom), "__key string, form string")
+    possible = possible_hits(spread, entries, scratch, max_blocks)
     hits = (possible.distinct().join(entries, F.col("form") == F.col("entry")).groupBy("__key")
             .agg(F.max(F.struct(F.length("entry").alias("n"), "entry")).alias("best")).select(F.col("__key").alias("hit_key"), F.col("best.entry").alias("listed")))
-    out = judged.join(hits, judged["__key"] == hits["hit_key"], "left")
+    # URLs without a host have no hit; they would all meet on one key
+    out = judged.where("host <> ''").join(hits, F.col("__key") == F.col("hit_key"), "left")
+    out = out.unionByName(judged.where("host = ''").withColumns({"hit_key": F.lit(None).cast("string"), "listed": F.lit(None).cast("string")}))
     verdict = F.coalesce("by_rule", F.when(F.col("listed").isNotNull(), "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "listed")
