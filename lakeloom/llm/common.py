@@ -70,8 +70,9 @@ def partitions(spark: SparkSession) -> int:
 
 
 def row_key(*cols: str) -> Column:
-    """A key of a row's content; equal rows share it. Used beside the id, never instead of it."""
-    return F.xxhash64(*cols)
+    """A key of a row's content, 128 bits as binary; equal rows share it. Used beside the id, never instead of it."""
+    half = lambda *seed: F.lpad(F.hex(F.xxhash64(*seed, *cols)), 16, "0")
+    return F.unhex(F.concat(half(), half(F.lit(1), F.lit("second"))))
 
 
 def md5_unit(*parts: Column) -> Column:

@@ -5,7 +5,8 @@ least of a hash over the set, seen as an exponential variate of the set's size a
 an exponentially spaced grid (base ``B``). Registers of a union are the larger ones of the parts,
 and two sets agree in a register with a probability that follows their Jaccard similarity.
 
-1. Rows with equal sets form a class (128-bit key); one id of each class goes on.
+1. Rows with equal sets form a class (128-bit key); its smallest id stands for it from here on, so
+   a class of any number of copies is one node of the link graph.
 2. Registers are banded by ``ROWS``; classes that share a band value are candidates. At a
    similarity of 0.8 a pair is missed with a probability of 4e-7, at 0.85 of 1e-9 (``BANDS`` bands).
 3. A band value of at most ``SMALL`` classes gives its pairs, a larger one a star.
@@ -24,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytehash import Fingerprints, chunks, mix, released, signed, text_buffers
+from .bytehash import chunks, mix, released, signed, text_buffers, word_hashes
 from .common import Scratch
 from .components import components
 
@@ -71,7 +72,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     cut = offsets[1:][offsets[1:] > 0] - 1
     apart[cut] = True
     end = np.flatnonzero(~white & apart) + 1
-    word = mix(Fingerprints(low).ranges(begin, end) + (end - begin).astype(np.uint64))
+    word = word_hashes(low, begin, end)
     bounds = np.searchsorted(begin, offsets)
     words, m = np.diff(bounds), len(begin)
     count = np.where(words >= WORDS, words - WORDS + 1, np.minimum(words, 1))
@@ -238,11 +239,13 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = scratch.save(narrow.mapInArrow(lambda b: released(_sketch(b)), _SKETCH), "sketch")
     able = sketch.where("doc_id is not null and n_shingles > 0")
-    classes = able.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    classes = able.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     classes = scratch.save(classes, "classes")
-    star = (able.select("doc_id", "k1", "k2").join(classes.where("rep <> last"), ["k1", "k2"])
-            .where("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
-    star = scratch.save(star, "star")
+    # an id that stands in several classes joins them
+    several = able.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    several = scratch.save(able.select("doc_id", "k1", "k2").join(several, "doc_id").join(classes, ["k1", "k2"]).select("doc_id", "rep").distinct(), "several")
+    joined = several.join(several.groupBy("doc_id").agg(F.min("rep").alias("u")), "doc_id").select("u", F.col("rep").alias("v")).where("u <> v")
+    joined = scratch.save(joined.distinct(), "joined")
     own = able.join(classes.select("k1", "k2", F.col("rep").alias("doc_id")), ["k1", "k2", "doc_id"])
     regs = own.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "regs").dropDuplicates(["id", "n"])
     rows = own.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
@@ -269,7 +272,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     verified = (likely.join(end("u"), "u").join(end("v"), "v").withColumn("both", both)
                 .where(f"{den} * both >= {num} * (nu + nv - both)").select("u", "v"))
     verified = scratch.save(verified.distinct(), "verified")
-    found = components(scratch, star.union(verified), "first")
+    found = components(scratch, joined.union(verified), "first")
 
     # large band values that still hold several components: an exact comparison, in blocks
     crowded = (shared.where(F.col("n") > SMALL).select("key", "id").distinct()
@@ -287,18 +290,23 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
         dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "minor")
         crossed = dealt.join(sets, "id").groupBy("key", "i", "j").applyInArrow(_cross(num, den), "u long, v long")
         verified = verified.union(scratch.save(crossed.distinct(), "crossed"))
-        found = components(scratch, star.union(verified), "last")
+        found = components(scratch, joined.union(verified), "last")
     found = scratch.save(found, "components")
-    scratch.drop("shared", "likely", "sets", "crowded", "mixed", "verified", "crossed", "classes", "star")
-    out = sketch.select("doc_id", "n_shingles").join(found, F.col("doc_id") == found["node"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-                      F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    named = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("k1"))
+    of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component", "rep").alias("class_component"))
+    out = sketch.select("doc_id", "n_shingles", named.alias("k1"), "k2").join(of_class, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
+    component = F.coalesce("class_component", "doc_id")
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = scratch.save(out, "judged")
+    scratch.drop("sketch", "shared", "likely", "sets", "crowded", "mixed", "verified", "crossed", "classes", "several", "joined", "components")
+    return out
 
 
 def keep_one(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, with all their columns.
 
-    Of repeated rows of one kept ``doc_id`` a single one stays; rows with a null id all stay.
+    Rows that share a ``doc_id`` are one document: of those of a kept id the one with the smallest
+    hash of its text stays; rows with a null id all stay.
     """
     judged = near_duplicates(docs, num, den)
     gone = judged.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
@@ -307,4 +315,6 @@ def keep_one(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     if twice.isEmpty():
         return left
     single = left.join(twice, "doc_id", "left_anti")
-    return single.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", *[F.col(c).cast("string") for c in docs.columns])
+    one = left.join(twice, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(order)).where("__nth = 1").drop("__nth")
+    return single.unionByName(one).select(*docs.columns)

@@ -5,15 +5,16 @@ of ``length`` bytes is owned by the leftmost least-hashed 24-byte gram inside it
 are owned alike wherever they stand. Windows of one owner are cut into cells by their offset to
 it; all windows of a cell contain its core, and equal windows lie in cells of equal cores.
 
-1. Each document emits its cells: a 128-bit name of the core, a fingerprint of the cell's whole
-   context, and where it is. One pass, about one row for 90 bytes.
+1. Each document emits its cells: a name of the core, a fingerprint of the cell's whole context
+   (both of two 61-bit polynomials modulo a prime), and where it is. One pass, about one row for
+   90 bytes.
 2. Cells whose core occurs once hold no repeat. Cells whose whole context occurs again are
    repeats in all their windows. Both are settled by counting, which no hot passage can skew.
 3. What is left are the edges of repeats: cores that recur between different neighbours. One
    string ``left + CORE + right`` for each different context goes to the shard of its core, and
    ``suffixsort`` sorts all their suffixes and finds the windows with a common prefix of
    ``length``. Shards are cut by content, so no repeat spans two of them, and a shard may be far
-   larger than memory.
+   larger than memory: what grows with it lies in files, beside Spark's own spills.
 4. Ranges return to their documents, whose remaining bytes are hashed (or kept as a text).
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytehash import Fingerprints, chunks, mix, signed, text_buffers
+from .bytehash import Fingerprints, chunks, grams, mix, signed, text_buffers
 from .common import Scratch, partitions, row_key
 from .suffixsort import InducedSorter
 
@@ -48,7 +49,7 @@ def _sliding_least(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
 
 
-def owned(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Fingerprints] | None:
+def owned(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Runs of windows of one owner: owner, first and last window start; no run spans two texts."""
     size, w = len(data), length - GRAM + 1
     if size < length:
@@ -61,8 +62,7 @@ def owned(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarra
     np.add.at(valid, begin[some], 1)
     np.add.at(valid, end[some], -1)
     valid = np.cumsum(valid[:-1]) > 0
-    prints = Fingerprints(data)
-    h = mix(prints.windows(GRAM))
+    h = grams(data, GRAM)
     least = _sliding_least(h, w)
     starts = valid.copy()
     starts[1:] &= ~valid[:-1] | (least[1:] != least[:-1])
@@ -87,15 +87,15 @@ def owned(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarra
             lows = np.concatenate([[s[r]], places[:-1] + 1])
             parts.append((places, lows, np.minimum(places, e[r])))
         p, s, e = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return p, s, e, prints
+    return p, s, e
 
 
 def cells(data: np.ndarray, offsets: np.ndarray, length: int, span: int) -> dict[str, np.ndarray] | None:
-    """Cells with names (k1, k2), context fingerprints (ctx), window starts (lo, hi) and core starts (cs)."""
+    """Cells with names (k1, k2), context fingerprints (c1, c2), window starts (lo, hi) and core starts (cs)."""
     found = owned(data, offsets, length)
     if found is None:
         return None
-    p, s, e, prints = found
+    p, s, e = found
     width = span + 1
     low, high = (p - e) // width, (p - s) // width
     count = high - low + 1
@@ -104,33 +104,34 @@ def cells(data: np.ndarray, offsets: np.ndarray, length: int, span: int) -> dict
     core = p[at] - cell * width
     lo, hi = np.maximum(s[at], core - span), np.minimum(e[at], core)
     end = core - span + length
-    other = Fingerprints(data, 1)
-    third = Fingerprints(data, 2)
-    shape = ((hi - lo) * (1 << 20) + (core - lo)).astype(np.uint64)
-    return {"k1": mix(prints.ranges(core, end) + cell.astype(np.uint64)), "k2": mix(other.ranges(core, end) + cell.astype(np.uint64)),
-            "ctx": mix(third.ranges(lo, hi + length) ^ mix(shape)), "lo": lo, "hi": hi, "cs": core, "owner": np.searchsorted(offsets, lo, side="right") - 1}
+    shape = mix(((hi - lo) * (1 << 20) + (core - lo)).astype(np.uint64))
+    out = {"lo": lo, "hi": hi, "cs": core, "owner": np.searchsorted(offsets, lo, side="right") - 1}
+    for family in (0, 1):
+        prints = Fingerprints(data, family)
+        out[f"k{family + 1}"] = mix(prints.ranges(core, end) + cell.astype(np.uint64))
+        out[f"c{family + 1}"] = mix(prints.ranges(lo, hi + length) ^ shape)
+    return out
 
 
-_CELLS = "rk long, k1 long, k2 long, ctx long, lo int, hi int, cs int"
+_CELLS = "rk binary, k1 long, k2 long, c1 long, c2 long, lo int, hi int, cs int"
 
 
 def _emit(length: int, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
-            keys = batch.column("rk").to_numpy()
             for a, b in chunks(offsets, CHUNK):
                 at = offsets[a : b + 1] - offsets[a]
                 got = cells(data[offsets[a] : offsets[b]], at, length, span)
                 if got is not None:
                     row = got["owner"]
                     base = at[row]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[a:b][row]), *(pa.array(signed(got[c])) for c in ("k1", "k2", "ctx")), *(pa.array((got[c] - base).astype(np.int32)) for c in ("lo", "hi", "cs"))], names=[f.split()[0] for f in _CELLS.split(", ")])
+                    yield pa.RecordBatch.from_arrays([batch.column("rk").slice(a, b - a).take(pa.array(row)), *(pa.array(signed(got[c])) for c in ("k1", "k2", "c1", "c2")), *(pa.array((got[c] - base).astype(np.int32)) for c in ("lo", "hi", "cs"))], names=[f.split()[0] for f in _CELLS.split(", ")])
 
     return run
 
 
-_STRINGS = "k1 long, k2 long, rk long, lo int, hi int, cs int, many boolean, left binary, right binary"
+_STRINGS = "k1 long, k2 long, rk binary, lo int, hi int, cs int, many boolean, left binary, right binary"
 
 
 def _strings(length: int, span: int):
@@ -144,7 +145,7 @@ def _strings(length: int, span: int):
                 for x in places:
                     end = x["cs"] - span + length
                     rows.append((x["k1"], x["k2"], rk, x["lo"], x["hi"], x["cs"], x["many"], raw[x["lo"] : x["cs"]], raw[end : x["hi"] + length]))
-            kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.bool_()] + [pa.binary()] * 2
+            kinds = [pa.int64()] * 2 + [pa.binary()] + [pa.int32()] * 3 + [pa.bool_()] + [pa.binary()] * 2
             columns = zip(*rows, strict=True) if rows else [[]] * 9
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in _STRINGS.split(", ")])
 
@@ -152,37 +153,38 @@ def _strings(length: int, span: int):
 
 
 def _shard(length: int, span: int, budget: int):
-    """Sorts one shard; gives the repeated windows of contexts that occur once."""
+    """Sorts one shard, whose strings come ordered by core; gives the repeated windows of contexts that occur once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sorter = InducedSorter(span, length - span, budget)
-        rk, cs, many = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, bool)]
+        rk, cs, many = sorter.column(np.uint8, 16), sorter.column(np.int32), sorter.column(bool)
         try:
             for batch in batches:
                 if batch.num_rows:
-                    names = [batch.column(c).to_numpy() for c in ("k1", "k2")]
-                    sorter.add(signed(mix(names[0].view(np.uint64)) ^ names[1].view(np.uint64)), batch.column("left").to_pylist(), batch.column("right").to_pylist())
-                    rk.append(batch.column("rk").to_numpy())
+                    sorter.add(batch.column("k1").to_numpy(), batch.column("k2").to_numpy(), batch.column("left").to_pylist(), batch.column("right").to_pylist())
+                    rk.append(np.frombuffer(b"".join(batch.column("rk").to_pylist()), np.uint8).reshape(-1, 16))
                     cs.append(batch.column("cs").to_numpy())
                     many.append(batch.column("many").to_numpy(zero_copy_only=False))
-            keys, cores, skip = np.concatenate(rk), np.concatenate(cs), np.concatenate(many)
+            keys, cores, skip = rk.view(), cs.view(), many.view()
             # windows come level by level; a string's run of neighbours goes out when it ends
-            since, last = np.full(len(keys), -1, np.int32), np.full(len(keys), -2, np.int32)
+            since, last = sorter.array(rk.n, np.int32, -1), sorter.array(rk.n, np.int32, -2)
 
             def ranges(items: np.ndarray) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([pa.array(keys[items]), pa.array((cores[items] - last[items]).astype(np.int32)), pa.array((cores[items] - since[items]).astype(np.int32))], names=["rk", "lo", "hi"])
+                names = pa.array([k.tobytes() for k in keys[items]], pa.binary())
+                return pa.RecordBatch.from_arrays([names, pa.array((cores[items] - last[items]).astype(np.int32)), pa.array((cores[items] - since[items]).astype(np.int32))], names=["rk", "lo", "hi"])
 
             for d, items in sorter.repeated():
-                items = items[~skip[items]]
+                items = items[~skip[items] & (last[items] != d)]  # one may be told twice
                 broken = items[last[items] != d - 1]
                 ended = broken[since[broken] >= 0]
                 if len(ended):
                     yield ranges(ended)
                 since[broken] = d
                 last[items] = d
-            open_ = np.flatnonzero(since >= 0)
-            if len(open_):
-                yield ranges(open_)
+            for at in range(0, rk.n, sorter.step):
+                open_ = at + np.flatnonzero(since[at : at + sorter.step] >= 0)
+                if len(open_):
+                    yield ranges(open_)
         finally:
             sorter.close()
 
@@ -224,7 +226,7 @@ def _digest(length: int):
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, budget: int = 64 << 20) -> DataFrame:
     """``rk, lo, hi``: for rows ``(rk, text)`` the starts ``lo`` to ``hi`` of windows that occur elsewhere too.
 
-    ``rk`` names a row's content; equal rows may share it and then repeat each other.
+    ``rk`` (16 bytes) names a row's content; equal rows may share it and then repeat each other.
     """
     if length < 2 * GRAM:
         raise ValueError(f"windows of at least {2 * GRAM} bytes")
@@ -237,13 +239,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, budget: int = 64 << 2
     live = scratch.save(rows.join(twice, ["k1", "k2"]), "live")
     scratch.drop("cells", "twice")
     place = F.struct("rk", "lo", "hi", "cs")
-    contexts = scratch.save(live.groupBy("k1", "k2", "ctx").agg(F.count("*").alias("n"), F.min(place).alias("place")), "contexts")
-    full = live.join(contexts.where("n > 1").select("k1", "k2", "ctx"), ["k1", "k2", "ctx"], "left_semi").select("rk", "lo", "hi")
+    contexts = scratch.save(live.groupBy("k1", "k2", "c1", "c2").agg(F.count("*").alias("n"), F.min(place).alias("place")), "contexts")
+    full = live.join(contexts.where("n > 1").select("k1", "k2", "c1", "c2"), ["k1", "k2", "c1", "c2"], "left_semi").select("rk", "lo", "hi")
     mixed = scratch.save(contexts.groupBy("k1", "k2").agg(F.count("*").alias("v")).where("v > 1").select("k1", "k2"), "mixed")
     edges = contexts.join(mixed, ["k1", "k2"]).select("place.rk", F.struct("k1", "k2", "place.lo", "place.hi", "place.cs", (F.col("n") > 1).alias("many")).alias("at"))
     edges = scratch.save(edges.groupBy("rk").agg(F.collect_list("at").alias("places")), "edges")
     strings = docs.select("rk", "text").join(edges, "rk").select("rk", "text", "places").mapInArrow(_strings(length, span), _STRINGS)
-    shards = strings.repartition(partitions(spark), "k1", "k2").mapInArrow(_shard(length, span, budget), "rk long, lo int, hi int")
+    shards = strings.repartition(partitions(spark), "k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(_shard(length, span, budget), "rk binary, lo int, hi int")
     return full.unionByName(scratch.save(shards, "sorted"))
 
 

@@ -8,8 +8,10 @@ back by symbol, in arrival order. The common prefix of neighbours with the same
 is that symbol's length plus the least common prefix seen between them, which the scan carries
 per symbol. Levels follow each other from the right ends of the strings to their left ends.
 
-Tuples, strings and results live in files beyond ``budget`` bytes: the queue spills sorted runs
-and merges them by symbol, level orders are read in chunks, strings are memory-mapped.
+Whatever grows with the strings lives in files beyond a share of ``budget`` bytes: the queue
+spills sorted runs and merges them by symbol, level orders are read in chunks, strings, names and
+the scan's state of each symbol are memory-mapped. The files lie where Spark spills and end with
+the task, which can be run again anywhere.
 """
 
 from __future__ import annotations
@@ -90,40 +92,57 @@ class _Column:
     """An append-only column of fixed-width records that moves to a file beyond the budget."""
 
     def __init__(self, folder: str, dtype, width: int, budget: int):
-        self.path, self.dtype, self.width, self.budget = os.path.join(folder, f"c{id(self)}"), np.dtype(dtype), width, budget
+        self.folder, self.dtype, self.width, self.budget = folder, np.dtype(dtype), width, budget
         self.parts: list[np.ndarray] = []
-        self.n, self.filed = 0, False
+        self.n, self.path = 0, None
 
     def append(self, block: np.ndarray) -> None:
         block = np.ascontiguousarray(block, self.dtype)
         self.n += len(block)
-        if self.filed or self.n * self.width * self.dtype.itemsize > self.budget:
-            with open(self.path, "ab") as out:
-                for part in [*self.parts, block]:
-                    part.tofile(out)
-            self.parts, self.filed = [], True
-        else:
+        if self.path is None and self.n * self.width * self.dtype.itemsize > self.budget:
+            handle, self.path = tempfile.mkstemp(dir=self.folder)
+            os.close(handle)
+        if self.path is None:
             self.parts.append(block)
+            return
+        with open(self.path, "ab") as out:
+            for part in [*self.parts, block]:
+                part.tofile(out)
+        self.parts = []
 
     def view(self) -> np.ndarray:
         shape = (self.n, self.width) if self.width > 1 else (self.n,)
-        if self.filed:
+        if self.path is not None:
             return np.memmap(self.path, self.dtype, "r+", shape=shape)
         return np.concatenate(self.parts).reshape(shape) if self.parts else np.empty(shape, self.dtype)
 
+    def close(self) -> None:
+        if self.path is not None:
+            os.unlink(self.path)
+
+
+def _filled(n: int, dtype, value: int) -> np.ndarray:
+    return np.full(n, value, dtype)
+
+
+def _induce(order: Iterator[np.ndarray], queue: RunQueue, symbol_of, symbols: int, weight: int, array=_filled) -> None:
+    """Pushes the tuples of the next level: for each item its preceding symbol (none: below 0).
 
-def _induce(order: Iterator[np.ndarray], queue: RunQueue, symbol_of, symbols: int, weight: int) -> None:
-    """Pushes the tuples of the next level: for each item its preceding symbol (none: below 0)."""
-    carry = np.full(symbols, -weight, np.int64)  # nothing before a symbol's first tuple: common prefix 0
-    for chunk in order:
+    Each symbol keeps the least common prefix since its last tuple up to the end of that tuple's
+    chunk, and the chunk's number; the least of every later chunk is applied when it is met again.
+    """
+    carry = array(symbols, np.int64, -weight)  # nothing before a symbol's first tuple: common prefix 0
+    seen = array(symbols, np.int32, -1)
+    floors: list[int] = []
+    for number, chunk in enumerate(order):
         item, lcp = chunk["item"], chunk["lcp"]
         symbol = symbol_of(item)
         by = np.argsort(symbol, kind="stable")
         by = by[np.searchsorted(symbol[by], 0) :]
         kind = symbol[by]
-        floor = int(lcp.min())
+        since_then = np.append(np.minimum.accumulate(np.array(floors, np.int64)[::-1])[::-1], FAR)  # by the number of the chunk before
+        floors.append(int(lcp.min()))
         if not len(by):
-            np.minimum(carry, floor, out=carry)
             continue
         first = np.ones(len(by), bool)
         first[1:] = kind[1:] != kind[:-1]
@@ -131,11 +150,12 @@ def _induce(order: Iterator[np.ndarray], queue: RunQueue, symbol_of, symbols: in
         spans = np.empty(2 * len(by), np.int64)
         spans[::2], spans[1::2] = since, by + 1
         least = np.minimum.reduceat(np.concatenate([lcp, [FAR]]), spans)[::2]
-        least[first] = np.minimum(least[first], carry[kind[first]])
+        own = kind[first]
+        least[first] = np.minimum(least[first], np.minimum(carry[own], since_then[seen[own] + 1]))
         last = np.flatnonzero(np.concatenate([first[1:], [True]]))
         after = np.concatenate([np.minimum.accumulate(lcp[::-1])[::-1], [FAR]])  # least from here to the end
-        np.minimum(carry, floor, out=carry)
         carry[kind[last]] = after[by[last] + 1]
+        seen[kind[last]] = number
         out = np.empty(len(by), _TUPLE)
         out["symbol"], out["item"], out["lcp"] = kind, item[by], least + weight
         queue.push(out)
@@ -147,40 +167,66 @@ class InducedSorter:
     def __init__(self, span: int, core: int, budget: int = 64 << 20):
         """``span``: most bytes on either side; ``core``: the symbol's length; windows have ``core + span`` bytes."""
         self.span, self.core, self.budget = span, core, budget
-        self.folder = tempfile.mkdtemp(prefix="induce-")
-        column = lambda dtype, width=1: _Column(self.folder, dtype, width, budget // 4)
-        self.left, self.right = column(np.uint8, span), column(np.uint8, span)
-        self.nleft, self.nright, self.name = column(np.int32), column(np.int32), column(np.int64)
+        spills = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]  # none outside Spark
+        self.folder = tempfile.mkdtemp(prefix="induce-", dir=spills if spills and os.path.isdir(spills) else None)
+        self.step = max(1, budget // 64)
+        self.left, self.right = self.column(np.uint8, span), self.column(np.uint8, span)
+        self.nleft, self.nright, self.name = self.column(np.int32), self.column(np.int32), self.column(np.int64)
+        self.names, self._last = 0, None
 
-    def add(self, name: np.ndarray, left: list[bytes], right: list[bytes]) -> None:
-        """``left`` is stored from the symbol outwards, so that column ``d`` is the byte ``d + 1`` before it."""
+    def column(self, dtype, width: int = 1) -> _Column:
+        return _Column(self.folder, dtype, width, self.budget // 8)
+
+    def array(self, n: int, dtype, value: int) -> np.ndarray:
+        """``n`` times ``value``, in a file beyond a share of the budget."""
+        if n * np.dtype(dtype).itemsize <= self.budget // 8:
+            return _filled(n, dtype, value)
+        handle, path = tempfile.mkstemp(dir=self.folder)
+        os.close(handle)
+        out = np.memmap(path, dtype, "w+", shape=(n,))
+        os.unlink(path)  # the mapping holds it
+        for at in range(0, n, self.step):
+            out[at : at + self.step] = value
+        return out
+
+    def add(self, k1: np.ndarray, k2: np.ndarray, left: list[bytes], right: list[bytes]) -> None:
+        """Strings of equal names (k1, k2) follow each other. ``left`` is stored from the symbol outwards, so that column ``d`` is the byte ``d + 1`` before it."""
         w = self.span
         pad = lambda b: b + bytes(w - len(b))
         self.left.append(np.frombuffer(b"".join(pad(b[::-1]) for b in left), np.uint8).reshape(-1, w))
         self.right.append(np.frombuffer(b"".join(map(pad, right)), np.uint8).reshape(-1, w))
         self.nleft.append(np.array([len(b) for b in left]))
         self.nright.append(np.array([len(b) for b in right]))
-        self.name.append(name)
+        fresh = np.ones(len(k1), bool)
+        fresh[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+        fresh[0] = self._last != (k1[0], k2[0])
+        self.name.append(self.names - 1 + np.cumsum(fresh))
+        self.names += int(fresh.sum())
+        self._last = (k1[-1], k2[-1])
 
     def repeated(self) -> Iterator[tuple[int, np.ndarray]]:
-        """For ``d`` = 0, 1, ...: the strings whose window that starts ``d`` bytes before the symbol occurs in another string."""
+        """For ``d`` = 0, 1, ...: strings whose window that starts ``d`` bytes before the symbol occurs in another string; one may be told twice."""
         n = self.name.n
         if not n:
             return
-        left, right, nleft, nright = self.left.view(), self.right.view(), self.nleft.view(), self.nright.view()
-        dense = np.unique(self.name.view(), return_inverse=True)[1].astype(np.int64)
-        enter = np.argsort(-np.asarray(nright), kind="stable")  # strings by the level at which their right end is
-        ends = -np.asarray(nright)[enter]
-        queue = RunQueue(self.folder, self.budget // 4)
+        left, right, nleft, nright, name = (c.view() for c in (self.left, self.right, self.nleft, self.nright, self.name))
+        queue = RunQueue(self.folder, self.budget // 8)
+
+        def fresh(t: int) -> Iterator[np.ndarray]:
+            """The strings that end at level ``t``, in the order of their numbers."""
+            for at in range(0, n, self.step):
+                found = at + np.flatnonzero(nright[at : at + self.step] == t)
+                if len(found):
+                    out = np.zeros(len(found), _TUPLE)
+                    out["item"] = found
+                    yield out
 
         def level(t: int, order: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
             """The suffixes right[t:], the empty ones first."""
-            fresh = enter[np.searchsorted(ends, -t, "left") : np.searchsorted(ends, -t, "right")]
-            for at in range(0, len(fresh), queue.budget):
-                out = np.zeros(len(fresh[at : at + queue.budget]), _TUPLE)
-                out["item"] = fresh[at : at + queue.budget]
-                yield out
-            head = len(fresh) > 0
+            head = False
+            for chunk in fresh(t):
+                head = True
+                yield chunk
             for chunk in order:
                 if head:
                     chunk = chunk.copy()
@@ -188,17 +234,18 @@ class InducedSorter:
                 yield chunk
 
         for t in range(self.span, 0, -1):
-            after = RunQueue(self.folder, self.budget // 4)
+            after = RunQueue(self.folder, self.budget // 8)
             _induce(level(t, queue.drain()), after, lambda item, t=t: right[item, t - 1].astype(np.int64), 256, 1)
             queue = after
-        after = RunQueue(self.folder, self.budget // 4)
-        _induce(level(0, queue.drain()), after, lambda item: dense[item], int(dense.max()) + 1, self.core)
+        after = RunQueue(self.folder, self.budget // 8)
+        _induce(level(0, queue.drain()), after, lambda item: np.asarray(name[item]), self.names, self.core, self.array)
         queue, window = after, self.core + self.span
         for d in range(self.span + 1):
-            after = RunQueue(self.folder, self.budget // 4)
+            after = RunQueue(self.folder, self.budget // 8)
+            found = self.column(np.int64)
 
-            def watched(order: Iterator[np.ndarray], found: list) -> Iterator[np.ndarray]:
-                last = None  # the tuple before this chunk, and whether it is already found
+            def watched(order: Iterator[np.ndarray], found: _Column) -> Iterator[np.ndarray]:
+                last = None  # the tuple before this chunk
                 for chunk in order:
                     hit = chunk["lcp"] >= window
                     if last is not None and hit[0]:
@@ -209,12 +256,13 @@ class InducedSorter:
                     last = chunk["item"][-1:]
                     yield chunk
 
-            found: list[np.ndarray] = []
             column = min(d, self.span - 1)
             _induce(watched(queue.drain(), found), after, lambda item, d=d, column=column: np.where(nleft[item] > d, left[item, column].astype(np.int64), -1), 256, 1)
             queue = after
-            if found:
-                yield d, np.unique(np.concatenate(found))
+            told = found.view()
+            for at in range(0, found.n, self.step):
+                yield d, np.unique(told[at : at + self.step])
+            found.close()
 
     def close(self) -> None:
         shutil.rmtree(self.folder, ignore_errors=True)
