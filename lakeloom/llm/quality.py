@@ -1,9 +1,11 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule rejects by one expression over a text's words, lines or characters. On a bounded
-sample every rule is run alone; its running time and the share it rejects order the rules by
-rejection per cost. The cascade is one CASE in that order: a row stops at the first rule that
-rejects it, and later rules are not evaluated. The order never changes which rows are kept.
+Each rule rejects by one expression over a text, its measures included. On a bounded sample every
+rule is run alone; its running time and the share it rejects order the rules by rejection per cost.
+``kept_rows`` is one condition of all rules in that order, each measured only where those before it
+let a row through. ``judge`` returns measures for every row, so these are there already, and its
+cascade is one CASE in that order. The order depends on the clock; it never changes which rows are
+kept, only which rule of several is named as the one that rejects.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ MIN_LETTERS = 0.5
 MAX_DUP_LINES = 0.5
 MAX_ELLIPSIS_LINES = 0.3
 MAX_BULLET_LINES = 0.9
+LETTER, ELLIPSIS, BULLET = r"\p{L}", "(\\.\\.\\.|…)\\s*$", "^\\s*[-*•‣◦]\\s"
 
 
 def words(text: Column) -> Column:
@@ -90,13 +93,20 @@ def rules() -> dict[str, Column]:
     return {
         "symbols": F.col("n_symbols") > MAX_SYMBOLS_PER_WORD * n,
         "mean_word": (mean < MEAN_WORD[0]) | (mean > MEAN_WORD[1]),
-        "letters": F.regexp_count(text, F.lit(r"\p{L}")) < MIN_LETTERS * F.col("word_chars"),
+        "letters": F.regexp_count(text, F.lit(LETTER)) < MIN_LETTERS * F.col("word_chars"),
         "dup_lines": F.col("n_dup_lines") > MAX_DUP_LINES * n_lines,
-        "ellipsis": count_lines("(\\.\\.\\.|…)\\s*$") > MAX_ELLIPSIS_LINES * n_lines,
-        "bullets": count_lines("^\\s*[-*•‣◦]\\s") > MAX_BULLET_LINES * n_lines,
+        "ellipsis": count_lines(ELLIPSIS) > MAX_ELLIPSIS_LINES * n_lines,
+        "bullets": count_lines(BULLET) > MAX_BULLET_LINES * n_lines,
     }
 
 
+def sample_of(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """At most ``SAMPLE_ROWS`` texts; of all partitions together only about twice as many reach the limit."""
+    n = texts.count()
+    thin = texts if n <= 2 * SAMPLE_ROWS else texts.sample(2 * SAMPLE_ROWS / n, seed=17)
+    return scratch.save(thin.select("__text").limit(SAMPLE_ROWS), "sample")
+
+
 def order_rules(sample: DataFrame, given: Mapping[str, Column]) -> list[str]:
     """Rule names by rejected share per second on ``sample``; ties keep the given order."""
     worth = {}
@@ -128,18 +138,58 @@ def judge(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     given = {"base": base_failed()} | rules()
     if order is None:
         scratch = Scratch(docs.sparkSession, "quality")
-        sample = scratch.save(measures(start.select("__text").limit(SAMPLE_ROWS)), "sample")
-        order = order_rules(sample, given)
-        scratch.drop("sample")
+        order = order_rules(scratch.save(measures(sample_of(start, scratch)), "measured"), given)
+        scratch.drop("sample", "measured")
     out = measures(start).withColumn("base_failed", base_failed()).withColumn("rejected_by", cascade(order, given))
     return out.withColumn("kept", F.col("rejected_by").isNull()).select(*own, *made)
 
 
-def kept_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns.
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    The row number in the condition keeps it above the measures: pushed below them, it would repeat
-    their expressions many times over.
-    """
-    judged = judge(docs).withColumn("__row", F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)
+
+def _repeats_most(word_list: Column) -> Column:
+    """Whether over half of the words lie in a 3-word window found at least twice."""
+
+    def told(hashes: Column) -> Column:
+        def of(twice: Column) -> Column:
+            ordered = F.when(F.size(twice) > FEW, F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+            return _bound(ordered, lambda x: 100 * _covered(hashes, twice, x) > 50 * F.size(word_list))
+
+        sorted_ = lambda x: F.array_distinct(F.filter(x, lambda h, k: F.coalesce(h == F.get(x, k - 1), F.lit(False))))
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(False)).otherwise(_bound(_bound(F.sort_array(hashes), sorted_), of))
+
+    return _bound(repeated_words(word_list), told)
+
+
+def rules_alone() -> dict[str, Column]:
+    """The base rule and ``rules`` as conditions on ``__text`` alone; true rejects."""
+    text = F.coalesce(F.col("__text"), F.lit(""))
+    n = F.greatest(F.regexp_count(text, F.lit(f"[^{WHITE}]+")), F.lit(1))
+    chars = F.length(F.regexp_replace(text, f"[{WHITE}]+", "")).cast("long")
+    of_lines = lambda use: _bound(lines(text), lambda ls: use(ls, F.greatest(F.size(ls), F.lit(1))))
+    matching = lambda pattern, most: of_lines(lambda ls, all_: F.size(F.filter(ls, lambda line: line.rlike(pattern))) > most * all_)
+    return {
+        "base": _bound(words(text), lambda w: F.when(F.size(w) < 50, F.lit(True)).otherwise(_repeats_most(w))),
+        "symbols": symbols(text) > MAX_SYMBOLS_PER_WORD * n,
+        "mean_word": _bound(chars / n, lambda mean: (mean < MEAN_WORD[0]) | (mean > MEAN_WORD[1])),
+        "letters": F.regexp_count(text, F.lit(LETTER)) < MIN_LETTERS * chars,
+        "dup_lines": of_lines(lambda ls, all_: F.size(ls) - F.size(F.array_distinct(ls)) > MAX_DUP_LINES * all_),
+        "ellipsis": matching(ELLIPSIS, MAX_ELLIPSIS_LINES),
+        "bullets": matching(BULLET, MAX_BULLET_LINES),
+    }
+
+
+def kept_rows(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns; the same rows as ``judge`` keeps."""
+    start = docs.withColumn("__text", F.col("text").cast("string"))
+    given = rules_alone()
+    if order is None:
+        scratch = Scratch(docs.sparkSession, "quality")
+        order = order_rules(sample_of(start, scratch), given)
+        scratch.drop("sample")
+    rejected = F.lit(False)
+    for name in order:  # a row that is rejected stops there
+        rejected = rejected | F.coalesce(given[name], F.lit(False))
+    return start.where(~rejected).select(*docs.columns)
