@@ -51,6 +51,41 @@ class OdsModel:
             raise ValueError("; ".join(found))
 
 
+@dataclass(frozen=True)
+class OdsHooks:
+    """Callables that stand in for a step of a captured table's load, or follow it; None leaves the step as it is.
+
+    ``tmp_fields(rows)`` and ``post_tmp(rows)`` change the staged rows, before and after missing columns
+    are filled; ``filter_input(rows, state)`` is the strategy itself (rows with cdc_type_code, rn_asc,
+    rn_desc and hash); ``cdc_fields(entries)`` and ``snp_fields(state)`` change what is written;
+    ``cdc_load(entries)`` and ``snp_load(state, changes)`` give the added log rows and the next state;
+    ``cut_param(rows, entries)`` gives the marks ``(table_nm, column_nm, cut_value)``.
+    """
+
+    tmp_fields: Callable[[DataFrame], DataFrame] | None = None
+    post_tmp: Callable[[DataFrame], DataFrame] | None = None
+    filter_input: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+    cdc_fields: Callable[[DataFrame], DataFrame] | None = None
+    snp_fields: Callable[[DataFrame], DataFrame] | None = None
+    cdc_load: Callable[[DataFrame], DataFrame] | None = None
+    snp_load: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+    cut_param: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+
+
+@dataclass(frozen=True)
+class Dictionary:
+    """A code dictionary that a captured table's change log feeds; ``elements``: its element table is rebuilt as well."""
+
+    code: str
+    element: str
+    source_element: str
+    description: str
+    system: str
+    eff_from: str = "cdc_source_dttm"
+    obsolete: bool = True
+    elements: bool = False
+
+
 def registry_rows(spark, models: dict[str, str]) -> DataFrame:
     """``table_nm, column_index, column_nm, source_type, kept_type`` of tables given by their column lists."""
     rows = [(t, k, name, kind, spark_type(kind)) for t, ddl in models.items() for k, (name, kind) in enumerate(split_ddl(ddl), 1)]

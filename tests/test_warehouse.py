@@ -174,6 +174,26 @@ def test_custom_strategy(spark, tmp_path):
     assert [tuple(r) for r in store.read("c_snp").collect()] == [(1, "a", 1, 0)]
 
 
+def test_hooks_and_dictionaries(spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/store")
+    seen = []
+    add = lambda name: lambda df: df.withColumn(name, F.lit(name))
+    hooks = models.OdsHooks(tmp_fields=lambda df: df.where("k > 0"), post_tmp=lambda df: seen.append(df.columns) or df, cdc_fields=add("log_field"), snp_fields=add("state_field"), cdc_load=lambda df: df.where("k < 9"),
+                            cut_param=lambda rows, entries: rows.agg(F.max("ver").cast("string").alias("cut_value")).withColumns({"table_nm": F.lit("t"), "column_nm": F.lit("mine")}))
+    colours = models.Dictionary("COL", "v", "v", "v", "SRC", elements=True)
+    rows = spark.createDataFrame([(0, "a", 1, "create"), (1, "red", 2, "create"), (2, "blue", 3, "create"), (9, "red", 4, "create")], "k int, v string, ver int, ce_type string")
+    run_ods(store, "t", rows, ["k"], ["v"], "ver", W.CTX, hooks=hooks, dictionaries=[colours], partition_by={"t_cdc": ["cdc_type_code"]})
+    assert sorted(r.k for r in store.read("t_cdc").collect()) == [1, 2] and sorted(r.k for r in store.read("t_snp").collect()) == [1, 2, 9]
+    assert store.read("t_cdc").first().log_field == "log_field" and store.read("t_snp").first().state_field == "state_field" and seen
+    assert [tuple(r) for r in store.read("cut_param").collect()] == [("t", "mine", "4")]
+    assert sorted((r.element_code, r.element_desc) for r in store.read("udd_element").collect()) == [("blue", "blue"), ("red", "red")]
+    assert list((tmp_path / "store").glob("t_cdc/*/cdc_type_code=I"))
+    later = spark.createDataFrame([(1, "red", 5, "delete"), (3, "green", 6, "create")], rows.schema)
+    run_ods(store, "t", later, ["k"], ["v"], "ver", LoadContext(datetime(2024, 2, 2), "wf"), hooks=models.OdsHooks(snp_load=lambda state, changes: state), dictionaries=[colours])
+    assert sorted((r.source_element_code, r.status_code) for r in store.read("udd_element_map").collect()) == [("blue", "USE"), ("green", "USE"), ("red", "OBS"), ("red", "USE")]
+    assert store.read("t_snp").count() == 3
+
+
 def test_stream_is_captured_and_replays_change_nothing(spark, tmp_path):
     source, store = tmp_path / "in", TableStore(spark, f"file://{tmp_path}/store")
     rows = spark.createDataFrame([(1, "a", 1, "create"), (1, "b", 2, "update")], "k int, v string, ver int, ce_type string")
