@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality, urlfilter
+from . import licenses, quality, urlfilter
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -71,5 +71,39 @@ reach(a, b) as (select doc_id, doc_id from w union select a, y from reach join e
 select a as doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, min(b) as component_id, a = min(b) as kept from reach left join n on a = n.doc_id group by a, n"""
 
 
+def license_scan() -> str:
+    """Every line window and text against every template, with no short cut."""
+    rows, longest = [], 0
+    for k, (name, text) in enumerate((*licenses.TEMPLATES, *licenses.FULL_TEXTS)):
+        words = licenses._terms(text)
+        short = k < len(licenses.TEMPLATES)
+        longest = max(longest, len(words)) if short else longest
+        rows += [f"({k}, '{name}', {short}, '{w}', {words.count(w)})" for w in sorted(set(words))]
+    terms = lambda t: rf"list_filter(string_split_regex(lower({t}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    return rf"""with d as (select row_number() over () as r, doc_id, concat_ws('/', source, lang, cast(doc_id as varchar) || '.txt') as path, coalesce(text, '') as t from documents),
+p as (select *, regexp_extract(path, '^(.*/)?') as dir from d),
+c as (select term, count(*) as df from (select distinct r, unnest({terms('t')}) as term from d) group by term),
+n as (select count(*) as n from d),
+v(template, license, short, term, tf) as (values {', '.join(rows)}),
+a as (select coalesce(c.term, v.term) as term, 1000 + cast(round(1000 * ln((1 + any_value(n)) / (1 + coalesce(any_value(df), 0)))) as bigint) as w from c full join v on c.term = v.term, n group by 1),
+x as (select v.*, tf * w as x from v join a using (term)),
+q as (select template, cast(sum(x * x) as double) as square from x group by all),
+l as (select r, row_number() over (partition by r order by k) as i, ws, len(ws) as m from (select r, generate_subscripts(ls, 1) as k, unnest(ls) as ws from (select r, list_transform(string_split(t, chr(10)), lambda s: {terms('s')}) as ls from d)) where len(ws) > 0),
+s as (select *, sum(m) over (partition by r order by i) as upto from l),
+u as (select a.r, a.i as first, b.i as last from s a join s b on a.r = b.r and b.i >= a.i and (b.upto - b.m) - (a.upto - a.m) < {longest}),
+g as (select u.r, first, last, term, count(*) as tf from u join (select r, i, unnest(ws) as term from l) k on u.r = k.r and i between first and last group by all
+  union all select r, -1, -1, term, count(*) from (select r, unnest(ws) as term from l) group by all),
+e as (select r, first, last, sum(cast(tf * w * tf * w as hugeint)) as own from g join a using (term) group by all),
+o as (select r, first, last, template, license, cast(sum(cast(g.tf * w * x as hugeint)) as double) as dot from g join a using (term) join x using (term) where short or first = -1 group by all),
+z as (select o.*, cast(floor(1000 * dot / sqrt(cast(own as double) * square) + 1e-9) as integer) as score from o join e using (r, first, last) join q using (template)),
+h as (select *, first = -1 as whole from z where score >= {int(1000 * licenses.THRESHOLD)}),
+f as (select r, license, score from h where whole qualify row_number() over (partition by r order by score desc, template) = 1),
+b as (select r, license, score from h qualify row_number() over (partition by r order by score desc, whole desc, template) = 1),
+m as (select dir as up, license as lent, score as lent_score from f join p using (r) qualify row_number() over (partition by dir order by score desc, license) = 1),
+i as (select p.r, up, lent, lent_score from p join m on starts_with(dir, up) qualify row_number() over (partition by p.r order by length(up) desc) = 1)
+select doc_id, path, coalesce(f.license, b.license, lent) as license, case when f.r is not null then 'file' when b.r is not null then 'header' when lent is not null then 'inherited' end as kind,
+  coalesce(f.score, b.score, lent_score) as score, case when f.r is not null then dir when b.r is not null then path else up end as found_in from p left join f using (r) left join b using (r) left join i using (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": MIX_SOURCES, "op8_near_duplicates": NEAR_DUPLICATES, "op3_top_k": TOP_K, "op5_url_filter": url_filter(), "op10_quality": quality_rules()}
+    return {"op1_license_scan": license_scan(), "op2_mix_sources": MIX_SOURCES, "op8_near_duplicates": NEAR_DUPLICATES, "op3_top_k": TOP_K, "op5_url_filter": url_filter(), "op10_quality": quality_rules()}
