@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, quality, urlfilter
+from . import licenses, quality, suffixdedup, urlfilter
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -71,6 +71,17 @@ reach(a, b) as (select doc_id, doc_id from w union select a, y from reach join e
 select a as doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, min(b) as component_id, a = min(b) as kept from reach left join n on a = n.doc_id group by a, n"""
 
 
+# Every window of every text, in hexadecimal, by its md5.
+SUFFIX_DEDUP = f"""with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select r, i, md5(substr(h, 2 * i + 1, {2 * suffixdedup.LENGTH})) as k from (select r, h, unnest(range(0, length(h) // 2 - {suffixdedup.LENGTH - 1})) as i from d where length(h) >= {2 * suffixdedup.LENGTH})),
+t as (select r, i from (select r, i, count(*) over (partition by k) as c from w) where c > 1),
+g as (select r, i, sum(case when i > before + {suffixdedup.LENGTH} then 1 else 0 end) over (partition by r order by i) as g from (select *, lag(i) over (partition by r order by i) as before from t)),
+s as (select r, min(i) as a, max(i) + {suffixdedup.LENGTH} as b from g group by r, g),
+e as (select r, a, b, lag(b, 1, 0) over (partition by r order by a) as since from s),
+k as (select r, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' order by a) || substr(any_value(h), 2 * max(b) + 1) as kept, sum(b - a) as removed, count(*) as spans from e join d using (r) group by r)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, cast(coalesce(spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256 from d left join k using (r)"""
+
+
 def license_scan() -> str:
     """Every line window and text against every template, with no short cut."""
     rows, longest = [], 0
@@ -106,4 +117,4 @@ select doc_id, path, coalesce(f.license, b.license, lent) as license, case when
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan(), "op2_mix_sources": MIX_SOURCES, "op8_near_duplicates": NEAR_DUPLICATES, "op3_top_k": TOP_K, "op5_url_filter": url_filter(), "op10_quality": quality_rules()}
+    return {"op1_license_scan": license_scan(), "op2_mix_sources": MIX_SOURCES, "op6_suffix_dedup": SUFFIX_DEDUP, "op8_near_duplicates": NEAR_DUPLICATES, "op3_top_k": TOP_K, "op5_url_filter": url_filter(), "op10_quality": quality_rules()}
