@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,30 @@ def create_masked_view(spark: SparkSession, table: str, view: str, personal: Ite
     create_view(spark, view, f"select {names} from {table}")
 
 
+def comment_on(spark: SparkSession, table: str, text: str, of_columns: Mapping[str, str] | None = None) -> None:
+    """A table's comment and those of its columns."""
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spark.sql(f"comment on table {table} is {quoted(text)}")
+    for column, words in (of_columns or {}).items():
+        spark.sql(f"alter table {table} alter column `{column}` comment {quoted(words)}")
+
+
+def analyze(spark: SparkSession, table: str, columns: Iterable[str] = ()) -> None:
+    """Statistics of a table, and of some of its columns, for the optimizer."""
+    named = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"analyze table {table} compute statistics" + (f" for columns {named}" if named else ""))
+
+
+def swap(spark: SparkSession, fresh: str, name: str) -> None:
+    """A finished table takes another's name; the old one goes last, so that a failure between leaves both."""
+    old = f"{name}_backup"
+    spark.sql(f"drop table if exists {old}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"alter table {name} rename to {old}")
+    spark.sql(f"alter table {fresh} rename to {name}")
+    spark.sql(f"drop table if exists {old}")
+
+
 def grants(table: str, view: str, role: str, personal_role: str) -> list[str]:
     """Statements for a catalog with roles: everybody reads the masked view, few the table."""
     return [f"grant select on {table} to {personal_role}", f"grant select on {view} to {role}"]

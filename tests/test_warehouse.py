@@ -228,6 +228,24 @@ def test_masks_and_grants(spark):
     assert catalog.grants("t", "v", "all", "few") == ["grant select on t to few", "grant select on v to all"]
 
 
+def test_comments_statistics_and_swap(spark):
+    spark.sql("create database if not exists loom_ddl")
+    try:
+        spark.createDataFrame([(1, "a")], "k int, v string").write.saveAsTable("loom_ddl.t")
+        catalog.comment_on(spark, "loom_ddl.t", "it's a table", {"v": "the value"})
+        catalog.analyze(spark, "loom_ddl.t")
+        catalog.analyze(spark, "loom_ddl.t", ["k"])
+        told = {r.col_name: (r.data_type, r.comment) for r in spark.sql("describe extended loom_ddl.t").collect()}
+        assert told["Comment"][0] == "it's a table" and told["v"][1] == "the value" and "1 rows" in told["Statistics"][0]
+        spark.createDataFrame([(2, "b")], "k int, v string").write.saveAsTable("loom_ddl.fresh")
+        catalog.swap(spark, "loom_ddl.fresh", "loom_ddl.t")
+        assert [r.k for r in spark.table("loom_ddl.t").collect()] == [2] and not spark.catalog.tableExists("loom_ddl.fresh")
+        catalog.create_masked_view(spark, "loom_ddl.t", "loom_ddl.masked", ["V"])
+        assert spark.table("loom_ddl.masked").columns == ["k"]
+    finally:
+        spark.sql("drop database loom_ddl cascade")
+
+
 def test_entry_without_the_training_operators(tmp_path):
     """With both folders gone, queries and SQL are those of the loaders; here and in a new process."""
     for name in ("lakeloom", "corpus_pipeline.py", "__spark_entry__.py"):
