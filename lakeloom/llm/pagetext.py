@@ -4,7 +4,7 @@ Every element subtree of a page is hashed from its tag, text and children. In Sp
 are counted per host over pages of different content, so copies of one article count once. A
 subtree that recurs across many such pages is part of the site's template and is deleted.
 Articles quote each other, so a text block inside the article must recur on a far larger share of
-the host's pages (``MIN_TEXT_SHARE``). Templates cannot tell what changes from page to page
+the host's pages, and on more of them (``MIN_TEXT_SHARE``, ``MIN_TEXT_PAGES``). Templates cannot tell what changes from page to page
 (adverts, comments) nor what a host of few pages repeats, so elements that are boilerplate by tag,
 role, class or id go as well.
 
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, row_key
 from .urlfilter import host_and_path
 
-MIN_PAGES, MIN_SHARE, MIN_TEXT_SHARE = 5, 0.005, 0.3
+MIN_PAGES, MIN_SHARE = 5, 0.005
+MIN_TEXT_PAGES, MIN_TEXT_SHARE = 20, 0.3
 MAX_TEMPLATES = 1 << 20
 
 # HTML element classes, and names that mark boilerplate.
@@ -307,7 +308,7 @@ def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     counted = scratch.save(counted.where(f"subtree = 0 or n >= {MIN_PAGES}"), "counted")
     whole = counted.where("subtree = 0").select(F.col("host").alias("of"), F.col("n").alias("all"))
     often = counted.where("subtree <> 0")
-    return often.join(whole, F.col("host") == F.col("of")).where(f"n >= if(inner, {MIN_TEXT_SHARE}, {MIN_SHARE}) * all").select("host", "subtree")
+    return often.join(whole, F.col("host") == F.col("of")).where(f"n >= if(inner, greatest({MIN_TEXT_PAGES}, {MIN_TEXT_SHARE} * all), {MIN_SHARE} * all)").select("host", "subtree")
 
 
 _TEXT = "page_id long, url string, text string, n_chars long, n_templates long"

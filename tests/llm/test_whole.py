@@ -291,7 +291,7 @@ def site(n):
 
 
 def test_templates_decide(spark):
-    pages = site(12) + [(100 + k, f"http://plain.org/{k}", f"<div>Menu of plain</div><p>Text {k}</p>") for k in range(12)] + [(200, "http://few.org/1", "<div>Menu of few</div><p>Text</p>")]
+    pages = site(40) + [(100 + k, f"http://plain.org/{k}", f"<div>Menu of plain</div><p>Text {k}</p>") for k in range(12)] + [(200, "http://few.org/1", "<div>Menu of few</div><p>Text</p>")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     for limit in (1 << 20, 0):
         got = {r.page_id: r.text for r in pagetext.extract(df, limit).collect()}
@@ -300,7 +300,7 @@ def test_templates_decide(spark):
 
 
 def test_templates_equal_plain_counts(spark):
-    pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()] + site(12)
+    pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()] + site(40)
     seen = defaultdict(set)
     articles = defaultdict(set)
     for _, url, html in pages:
@@ -310,7 +310,7 @@ def test_templates_equal_plain_counts(spark):
         articles[host].add(article)
         for n, inner in pagetext.deletable(order, held):
             seen[host, n.key, inner].add(article)
-    want = Counter(host for (host, _, inner), pages_ in seen.items() if host and len(pages_) >= max(pagetext.MIN_PAGES, (pagetext.MIN_TEXT_SHARE if inner else pagetext.MIN_SHARE) * len(articles[host])))
+    want = Counter(host for (host, _, inner), pages_ in seen.items() if host and len(pages_) >= (max(pagetext.MIN_TEXT_PAGES, pagetext.MIN_TEXT_SHARE * len(articles[host])) if inner else max(pagetext.MIN_PAGES, pagetext.MIN_SHARE * len(articles[host]))))
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     hosted = df.withColumn("__url", F.col("url"))
     hosted = hosted.withColumn("host", F.coalesce(urlfilter.host_and_path(F.col("__url"))[0], F.lit("")))
