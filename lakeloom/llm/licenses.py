@@ -10,7 +10,9 @@ without words are passed over, and a window that begins or ends with a line with
 term is left out, as it scores no more without that line.
 Only texts with a strong term are opened: a unit that shares nothing but a template's lightest
 terms, whose squares sum to less than the squared threshold of its norm, cannot reach the
-threshold (Cauchy-Schwarz), so nothing is lost. Units meet templates by equi-joins on terms.
+threshold (Cauchy-Schwarz), so nothing is lost. A full text's heaviest terms are common words, so
+there the shared terms of each text are summed up before it is opened. Units meet templates by
+equi-joins on terms.
 
 Short notices are templates of every unit; the full texts of licences (``FULL_TEXTS``) only of whole
 texts.
@@ -109,21 +111,28 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     vocabulary = sorted({t for ts in tokens for t in ts})
     some_of = lambda ts: F.array(*[F.lit(t) for t in ts])
     listed = some_of(sorted({t for ts in tokens[:short] for t in ts}))
-    counted = files.select(F.explode(F.array_intersect(terms(F.col("text")), some_of(vocabulary))).alias("term")).groupBy("term").count()
-    counts = {r["term"]: r["count"] for r in counted.collect()}  # at most as many rows as the templates have terms
+    scratch = Scratch(spark, "licenses-units")
     n = files.count()
+    texts = scratch.save(files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("other")).groupBy("other").agg(F.count("*").alias("df")), "texts")
+    counts = {r["other"]: r["df"] for r in texts.where(F.array_contains(some_of(vocabulary), F.col("other"))).collect()}  # at most as many rows as the templates have terms
     weight = weights(counts, n, vocabulary)
     vectors = [{t: ts.count(t) * weight[t] for t in set(ts)} for ts in tokens]
-    strong_line, strong_text = (some_of(strong_terms(vs, threshold)) for vs in (vectors[:short], vectors))
+    strong = some_of(strong_terms(vectors[:short], threshold))
     # these tables are as small as the templates
     weighed = F.broadcast(spark.createDataFrame([(t, w) for t, w in weight.items()], "known string, weight long"))
     sides = F.broadcast(spark.createDataFrame([(t, k, x) for k, v in enumerate(vectors) for t, x in v.items()], "shared string, template int, value long"))
     norms = F.broadcast(spark.createDataFrame([(k, name, float(sum(x * x for x in v.values()))) for k, (v, (name, _)) in enumerate(zip(vectors, templates, strict=True))], "of int, license string, square double"))
 
-    opened = lambda strong: files.where(F.arrays_overlap(terms(F.col("text")), strong))
+    words = terms(F.col("text"))
+    opened = scratch.save(files.where(F.arrays_overlap(words, strong)), "opened")
+    # texts that share enough of a full text's squared weights to reach the threshold
+    squares = [(t, k, x * x, threshold**2 * sum(y * y for y in v.values()) - 1) for k, v in enumerate(vectors) if k >= short for t, x in v.items()]
+    squares = F.broadcast(spark.createDataFrame(squares, "shared string, template int, square long, need double"))
+    met = files.select("rk", F.explode(F.array_intersect(words, some_of(sorted({t for ts in tokens[short:] for t in ts})).cast("array<string>"))).alias("term")).join(squares, F.col("term") == F.col("shared"))
+    likely = scratch.save(met.groupBy("rk", "template").agg(F.sum("square").alias("mass"), F.max("need").alias("need")).where("mass >= need").select("rk").distinct(), "likely")
+    more = files.join(likely, "rk", "left_semi").join(opened.select("rk"), "rk", "left_anti")
     longest = max(len(ts) for ts in tokens[:short])
-    scratch = Scratch(spark, "licenses-units")
-    lines = opened(strong_line).select("rk", F.filter(F.transform(F.split("text", "\n"), terms), lambda ws: F.size(ws) > 0).alias("lines")).where(F.size("lines") > 0)
+    lines = opened.select("rk", F.filter(F.transform(F.split("text", "\n"), terms), lambda ws: F.size(ws) > 0).alias("lines")).where(F.size("lines") > 0)
     lines = scratch.save(lines, "lines")  # cut once; without the table each window would cut its text again
     starts = lines.select("rk", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.slice("lines", i + 1, F.lit(longest)))).alias("at", "run"))
     starts = starts.where(F.arrays_overlap(F.col("run")[0], listed))
@@ -131,12 +140,11 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     ends = F.filter(F.sequence(F.lit(1), F.size("run")), lambda k: within(k) & F.arrays_overlap(F.element_at("run", k), listed))
     windows = starts.select("rk", "at", "run", F.explode(ends).alias("k"))
     lines = windows.select("rk", (F.col("at").cast("long") * longest + F.col("k") - 1).alias("unit"), F.flatten(F.slice("run", F.lit(1), F.col("k"))).alias("words"))
-    whole = opened(strong_text).select("rk", F.lit(-1).cast("long").alias("unit"), terms(F.col("text")).alias("words"))
-    units = lines.where(F.arrays_overlap("words", strong_line)).union(whole)
+    whole = opened.unionByName(more).select("rk", F.lit(-1).cast("long").alias("unit"), words.alias("words"))
+    units = lines.where(F.arrays_overlap("words", strong)).union(whole)
     spread = units.select("rk", "unit", F.explode("words").alias("term")).groupBy("rk", "unit", "term").agg(F.count("*").alias("tf"))
     spread = scratch.save(spread, "spread")
     others = spread.select("term").distinct().join(weighed, F.col("term") == F.col("known"), "left_anti")
-    texts = files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("other")).groupBy("other").agg(F.count("*").alias("df"))
     rare = texts.join(others, F.col("other") == F.col("term"), "left_semi").select("other", (F.lit(1000) + F.round(1000 * F.log(F.lit(1.0 + n) / (1 + F.col("df"))))).cast("long").alias("counted"))
     rare = scratch.save(rare, "weights")
     spread = spread.join(weighed, F.col("term") == F.col("known"), "left").join(rare, F.col("term") == F.col("other"), "left").select("rk", "unit", "term", (F.col("tf") * F.coalesce("weight", "counted")).alias("x"))
