@@ -2,8 +2,8 @@
 
 Each rule rejects by one expression over a text, its measures included. On a bounded sample every
 rule is run alone; its running time and the share it rejects order the rules by rejection per cost.
-``kept_rows`` is one condition of all rules in that order, each measured only where those before it
-let a row through. ``judge`` returns measures for every row, so these are there already, and its
+``kept_rows`` is one condition of all rules in that order: a text is cut into words once, and every
+other measure is taken only where the rules before it let the row through. ``judge`` returns measures for every row, so these are there already, and its
 cascade is one CASE in that order. The order depends on the clock; it never changes which rows are
 kept, only which rule of several is named as the one that rejects.
 """
@@ -163,15 +163,15 @@ def _repeats_most(word_list: Column) -> Column:
     return _bound(repeated_words(word_list), told)
 
 
-def rules_alone() -> dict[str, Column]:
-    """The base rule and ``rules`` as conditions on ``__text`` alone; true rejects."""
+def rules_on(word_list: Column) -> dict[str, Column]:
+    """The base rule and ``rules`` as conditions on ``__text`` and its words; true rejects."""
     text = F.coalesce(F.col("__text"), F.lit(""))
-    n = F.greatest(F.regexp_count(text, F.lit(f"[^{WHITE}]+")), F.lit(1))
-    chars = F.length(F.regexp_replace(text, f"[{WHITE}]+", "")).cast("long")
+    n = F.greatest(F.size(word_list), F.lit(1))
+    chars = F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long")
     of_lines = lambda use: _bound(lines(text), lambda ls: use(ls, F.greatest(F.size(ls), F.lit(1))))
     matching = lambda pattern, most: of_lines(lambda ls, all_: F.size(F.filter(ls, lambda line: line.rlike(pattern))) > most * all_)
     return {
-        "base": _bound(words(text), lambda w: F.when(F.size(w) < 50, F.lit(True)).otherwise(_repeats_most(w))),
+        "base": F.when(F.size(word_list) < 50, F.lit(True)).otherwise(_repeats_most(word_list)),
         "symbols": symbols(text) > MAX_SYMBOLS_PER_WORD * n,
         "mean_word": _bound(chars / n, lambda mean: (mean < MEAN_WORD[0]) | (mean > MEAN_WORD[1])),
         "letters": F.regexp_count(text, F.lit(LETTER)) < MIN_LETTERS * chars,
@@ -184,12 +184,17 @@ def rules_alone() -> dict[str, Column]:
 def kept_rows(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns; the same rows as ``judge`` keeps."""
     start = docs.withColumn("__text", F.col("text").cast("string"))
-    given = rules_alone()
+    cut = words(F.coalesce(F.col("__text"), F.lit("")))
     if order is None:
         scratch = Scratch(docs.sparkSession, "quality")
-        order = order_rules(sample_of(start, scratch), given)
-        scratch.drop("sample")
-    rejected = F.lit(False)
-    for name in order:  # a row that is rejected stops there
-        rejected = rejected | F.coalesce(given[name], F.lit(False))
-    return start.where(~rejected).select(*docs.columns)
+        sample = scratch.save(sample_of(start, scratch).withColumn("__words", cut), "words")
+        order = order_rules(sample, rules_on(F.col("__words")))
+        scratch.drop("sample", "words")
+
+    def rejected(word_list: Column) -> Column:
+        given, out = rules_on(word_list), F.lit(False)
+        for name in order:  # a row that is rejected stops there
+            out = out | F.coalesce(given[name], F.lit(False))
+        return out
+
+    return start.where(~_bound(cut, rejected)).select(*docs.columns)
