@@ -13,8 +13,9 @@ and two sets agree in a register with a probability that follows their Jaccard s
 4. The joint likelihood of two sketches, with the exact set sizes, drops pairs whose best
    similarity from the threshold up is e**-18 times less likely than their best at all.
 5. What is left is verified on the full sets, and components of verified links are taken.
-6. Large band values that still hold several components go, in blocks of bounded size, through
-   an exact comparison of members of different components, so that no link is lost to the star.
+6. Large band values that still hold several components go, in blocks of bounded rows and
+   shingles, through an exact comparison of members of different components, so that no link is
+   lost to the star.
 
 Nothing is capped or sampled. Links, components and sketches stay in tables.
 """
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,7 @@ ROWS, BANDS = 4, 28
 M = ROWS * BANDS
 A, B, Q = 20.0, 1.001, 65534
 SMALL, BLOCK = 16, 512
+FEW, SLICE, MEMBERS = 32, 4096, 1 << 21
 CHUNK = 1 << 20
 MARGIN = 18.0
 
@@ -197,28 +200,50 @@ def _screen(num: int, den: int):
     return run
 
 
+def common_counts(flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many members each two of ``n`` sets share (``owner``: the set of each member of ``flat``); exact.
+
+    Members of few sets are told pair by pair, those of many by matrix products, a slice of members at a time.
+    """
+    both = np.zeros((n, n), np.int64)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.empty(0, np.int64)
+    count = np.diff(np.append(first, len(flat)))
+    few = np.repeat(count <= FEW, count) & np.repeat(count > 1, count)
+    code, of = np.repeat(np.arange(len(first)), count)[few], owner[few]
+    for lag in range(1, FEW):
+        near = np.flatnonzero(code[lag:] == code[:-lag]) if lag < len(code) else ()
+        if not len(near):
+            break
+        told, times = np.unique(of[near] * n + of[near + lag], return_counts=True)
+        both.ravel()[told] += times
+    both += both.T
+    many = np.flatnonzero(count > FEW)
+    for at in range(0, len(many), SLICE):
+        part = many[at : at + SLICE]
+        here = np.zeros((n, len(part)), np.float32)
+        for k, m in enumerate(part):
+            here[owner[first[m] : first[m] + count[m]], k] = 1
+        both += (here @ here.T).astype(np.int64)
+    return both
+
+
 def _cross(num: int, den: int):
     """Exact links between members of different components of one block pair."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy().copy()
         fresh = table.column("minor").to_numpy(zero_copy_only=False)
-        sets = [np.asarray(x, dtype=np.int64) for x in table.column("members").to_pylist()]
-        size = np.array([len(x) for x in sets])
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+        members = table.column("members")
+        size = np.concatenate([pc.list_value_length(c).to_numpy() for c in members.chunks]).astype(np.int64)
+        both = common_counts(np.concatenate([c.flatten().to_numpy() for c in members.chunks]), np.repeat(np.arange(len(size)), size), len(size))
+        linked = den * both >= num * (size[:, None] + size[None] - both)
         links = []
         for i in np.flatnonzero(fresh):
-            other = (comp != comp[i]) & (den * np.minimum(size, size[i]) >= num * np.maximum(size, size[i]))
-            if not other.any():
-                continue
-            pick = other[owner]
-            at = np.searchsorted(sets[i], flat[pick])
-            hit = sets[i][np.minimum(at, size[i] - 1)] == flat[pick]
-            both = np.bincount(owner[pick][hit], minlength=len(sets))
-            for j in np.flatnonzero(other & (den * both >= num * (size + size[i] - both))):
-                if comp[j] != comp[i]:
-                    links.append((ids[i], ids[j]))
-                    comp[comp == comp[j]] = comp[i]
+            while len(left := np.flatnonzero(linked[i] & (comp != comp[i]))):
+                links.append((ids[i], ids[left[0]]))
+                comp[comp == comp[left[0]]] = comp[i]
         return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
 
     return run
@@ -248,7 +273,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     joined = scratch.save(joined.distinct(), "joined")
     own = able.join(classes.select("k1", "k2", F.col("rep").alias("doc_id")), ["k1", "k2", "doc_id"])
     regs = own.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "regs").dropDuplicates(["id", "n"])
-    rows = own.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
+    rows = own.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
     buckets = (rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("key", "id").alias("h"), "id")).alias("hub"))
                .where("n > 1").select("key", "n", F.col("hub.id").alias("hub")))
     shared = scratch.save(rows.join(buckets, "key"), "shared")
@@ -275,13 +300,14 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     found = components(scratch, joined.union(verified), "first")
 
     # large band values that still hold several components: an exact comparison, in blocks
-    crowded = (shared.where(F.col("n") > SMALL).select("key", "id").distinct()
+    crowded = (shared.where(F.col("n") > SMALL).groupBy("key", "id").agg(F.max("size").alias("size"))
                .join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     crowded = scratch.save(crowded, "crowded")
-    parts = crowded.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = (parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("parts")).where("parts > 1")
-             .select("key", F.col("top.component").alias("main"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("nmain"),
-                     F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("nrest")))
+    parts = crowded.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / MEMBERS)).cast("int")
+    mixed = (parts.groupBy("key").agg(F.max(F.struct("n", "component", "size")).alias("top"), F.sum("n").alias("all"), F.sum("size").alias("size"), F.count("*").alias("parts")).where("parts > 1")
+             .select("key", F.col("top.component").alias("main"), blocks(F.col("top.n"), F.col("top.size")).alias("nmain"),
+                     blocks(F.col("all") - F.col("top.n"), F.col("size") - F.col("top.size")).alias("nrest")))
     mixed = scratch.save(mixed, "mixed")
     if not mixed.isEmpty():
         dealt = crowded.join(mixed, "key").withColumn("minor", F.col("component") != F.col("main"))

@@ -380,3 +380,53 @@ def test_large_cells_are_cut_into_blocks(spark, monkeypatch):
     want = [(q, k + 1, i, -s) for q in range(0, 400, 20) for k, (s, i) in enumerate(sorted((-int(able[q] @ v), i) for i, v in able.items() if i != q)[:5])]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
+
+
+# ---- near copies in crowded band values ----------------------------------------------------------
+
+
+def brute_components(rows, num, den):
+    sets = {d: shingles(text) for d, text in rows}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b]) if a < b else 0
+            if both and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {d: find(d) for d in sets}
+
+
+@pytest.mark.parametrize("num", [80, 85])
+def test_near_copies_of_a_crowd_are_linked(spark, num, monkeypatch):
+    """Copies at 0.75 to 0.95 of one text: few are linked to the hub of a band value, most to some other copy."""
+    monkeypatch.setattr(neardup, "BLOCK", 40)
+    monkeypatch.setattr(neardup, "MEMBERS", 10_000)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(240):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.randrange(2, 9)):
+            copy[at] = f"x{rng.randrange(10**9)}"
+        rows.append((k, " ".join(copy)))
+    want = brute_components(rows, num, 100)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), num, 100).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_common_counts_are_intersection_sizes(monkeypatch):
+    monkeypatch.setattr(neardup, "FEW", 4)
+    monkeypatch.setattr(neardup, "SLICE", 7)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, k, rng.integers(0, 60)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64) for k in (20, 60, 60, 400, 400, 400, 1) * 3]
+    got = neardup.common_counts(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]), len(sets))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert i == j or got[i, j] == len(np.intersect1d(a, b))
