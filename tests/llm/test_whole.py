@@ -12,7 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeloom.llm import bytehash, common, licenses, mixing, neardup, pagetext, pieces, quality, queries, secretscan, suffixdedup, topk, urlfilter
+from lakeloom.llm import bytehash, common
+from lakeloom.llm import components as connected
+from lakeloom.llm import licenses, mixing, neardup, pagetext, pieces, quality, queries, secretscan, suffixdedup, topk, urlfilter
 
 SF = "/root/testdata/sf0.001"
 
@@ -430,3 +432,55 @@ def test_common_counts_are_intersection_sizes(monkeypatch):
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
             assert i == j or got[i, j] == len(np.intersect1d(a, b))
+
+
+# ---- components ------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("last", [0, 60, 1 << 17])
+def test_components_by_rounds_and_by_a_last_task(spark, tmp_path, last, monkeypatch):
+    monkeypatch.setattr(connected, "LAST", last)
+    rng = random.Random(3)
+    links = [(k, k + 1) for k in range(0, 60, 2)] + [(k + 2, k) for k in range(0, 60, 4)] + [(1000 - k, 1001 - k) for k in range(70)] + [(500, k) for k in range(501, 560)]
+    links += [(2000 + rng.randrange(90), 2000 + rng.randrange(90)) for _ in range(60)] + [(-7, 3000), (7, 7), (4000, None), (None, 4001)]
+    links += links[:20]
+    near = defaultdict(set)
+    for u, v in links:
+        if u is not None and v is not None and u != v:
+            near[u].add(v)
+            near[v].add(u)
+    want = {}
+    for start in sorted(near):
+        todo = [start] if start not in want else []
+        while todo:
+            if (x := todo.pop()) not in want:
+                want[x] = start
+                todo += near[x]
+    scratch = common.Scratch(spark, "components-test")
+    table = scratch.save(spark.createDataFrame(links, "u long, v long").repartition(5), "links")
+    got = connected.components(scratch, table, "test").collect()
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want
+    assert not connected.components(scratch, table.where("u = 7"), "none").collect()
+
+
+@pytest.mark.parametrize("last", [0, 1 << 17])
+def test_crowded_copies_take_few_steps(spark, last, monkeypatch):
+    """Each step is a round of jobs over every partition; chains of copies once took three for each round of contraction."""
+    monkeypatch.setattr(connected, "LAST", last)
+    steps, save = [], common.Scratch.save
+    monkeypatch.setattr(common.Scratch, "save", lambda self, df, name: steps.append(name) or save(self, df, name))
+    monkeypatch.setattr(neardup, "BLOCK", 40)
+    rng = random.Random(11)
+    base, rows = [f"w{k}" for k in range(300)], []
+    for k in range(200):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.randrange(2, 9)):
+            copy[at] = f"x{rng.randrange(10**9)}"
+        rows.append((k, " ".join(copy)))
+    for k in range(70):  # each copy differs from the one before by one word
+        base = list(base)
+        base[rng.randrange(len(base))] = f"y{rng.randrange(10**9)}"
+        rows.append((1000 + (37 * k) % 70, " ".join(base)))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 85, 100).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 85, 100)
+    assert "crossed" in steps and (len(steps) <= 14 or not last)
